@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmart.config import MartConfig
 from starmart.functions.calendar import SAS_EPOCH
 from starmart.operators.dimensions import clean_airlines, clean_airports
-from starmart.operators.lookup import sized
+from starmart.operators.filters import in_dimension
 from starmart.schemas import KEPT_COLUMNS, RAW_ARRIVALS
 from starmart.session import size_shuffles
 from starmart.sources import paths
@@ -40,13 +40,19 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as arrivals: the customer's nation is the port, the segment the airline."""
+def arrivals(spark: SparkSession, sf_dir: str, ports: DataFrame | None = None) -> DataFrame:
+    """Orders as arrivals: the customer's nation is the port, the segment the airline.
+
+    ``ports`` keeps the arrivals at the airports of a dimension. Spark does not move a semi join
+    on the port below the join of orders and customers, so it is applied to the nations.
+    """
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    if ports is not None:
+        nation = in_dimension(nation, "n_name", ports, "airport_code")
     customer = (
         table(spark, sf_dir, "customer")
         .select("c_custkey", "c_nationkey", "c_mktsegment")
-        .join(sized(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     )
     joined = orders(spark, sf_dir).join(customer, F.col("o_custkey") == F.col("c_custkey"))
     year = F.year("order_day")
@@ -111,7 +117,7 @@ def airport_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as an uncleaned airport file, with codes missing and repeated."""
     nation = table(spark, sf_dir, "nation")
     supplier = table(spark, sf_dir, "supplier").join(
-        sized(nation), F.col("s_nationkey") == F.col("n_nationkey")
+        nation, F.col("s_nationkey") == F.col("n_nationkey")
     )
     key = F.col("s_suppkey")
     return supplier.select(
@@ -132,7 +138,7 @@ def airline_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as an uncleaned airline file, with codes missing, empty and repeated."""
     nation = table(spark, sf_dir, "nation")
     customer = table(spark, sf_dir, "customer").join(
-        sized(nation), F.col("c_nationkey") == F.col("n_nationkey")
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
     key = F.col("c_custkey")
     return customer.select(

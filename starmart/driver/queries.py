@@ -26,7 +26,7 @@ from starmart.functions import (
 from starmart.operators import dimensions, filters, summaries
 from starmart.operators.dedup import first_per_key
 from starmart.operators.insert import absent_rows, insert_if_absent
-from starmart.operators.lookup import decode, orphan_keys
+from starmart.operators.lookup import decode, orphan_keys, sized
 from starmart.operators.profile import null_profile, shape
 from starmart.plans import fact as fact_plan
 from starmart.plans import jobs, marts, quality
@@ -49,9 +49,8 @@ def registered(query: Query) -> Query:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_plan.fact_rows(
-        ad.arrivals(spark, sf_dir), ad.home_airports(spark, sf_dir), ad.ORDERS_CONFIG
-    )
+    home = ad.home_airports(spark, sf_dir)
+    return fact_plan.fact_rows(ad.arrivals(spark, sf_dir, home), home, ad.ORDERS_CONFIG)
 
 
 # The fact and its steps.
@@ -82,7 +81,7 @@ def in_set_filter(spark, sf_dir):
 def home_ports_semi(spark, sf_dir):
     rows = ad.arrivals(spark, sf_dir).select("cicid", "i94port")
     return filters.in_dimension(
-        rows, "i94port", ad.home_airports(spark, sf_dir), "airport_code"
+        rows, "i94port", sized(ad.home_airports(spark, sf_dir)), "airport_code"
     )
 
 
@@ -410,7 +409,7 @@ def dq_orphan_keys(spark, sf_dir):
         [
             orphan_keys(rows, "Gender", dimensions.seed(spark, "genders"), "gender_code"),
             orphan_keys(
-                rows, "Airline_Code", ad.segment_airlines(spark, sf_dir), "airline_code"
+                rows, "Airline_Code", sized(ad.segment_airlines(spark, sf_dir)), "airline_code"
             ),
             orphan_keys(rows, "Age_Group", dimensions.seed(spark, "agegroups"), "agegroup_num"),
         ]

@@ -41,8 +41,8 @@ SEEDS = {"visatypes": VISA_TYPES, "genders": GENDERS, "agegroups": AGE_GROUPS}
 
 
 def seed(spark: SparkSession, table: str) -> DataFrame:
-    """A dimension that consists of a few fixed rows."""
-    return spark.createDataFrame(SEEDS[table], TABLES[table]).coalesce(1)
+    """A dimension that consists of a few fixed rows, so it is always small enough to broadcast."""
+    return F.broadcast(spark.createDataFrame(SEEDS[table], TABLES[table]).coalesce(1))
 
 
 def clean_airports(source: DataFrame, config: MartConfig) -> DataFrame:

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.lookup import sized
-
 
 def all_present(fields: Iterable[str]) -> Column:
     """Every field is not null. NaN counts as a value."""
@@ -41,5 +39,5 @@ def not_named(field: str, names: Iterable[str]) -> Column:
 
 def in_dimension(frame: DataFrame, field: str, dimension: DataFrame, key: str) -> DataFrame:
     """Rows whose ``field`` occurs among the dimension's keys (semi join)."""
-    keys = sized(dimension.select(F.col(key).alias("_member")))
+    keys = dimension.select(F.col(key).alias("_member"))
     return frame.join(keys, frame[field] == keys["_member"], "left_semi")

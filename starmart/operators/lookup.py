@@ -1,4 +1,8 @@
-"""Joins of a large table with dimensions and dictionaries."""
+"""Joins of a large table with dimensions and dictionaries.
+
+The join strategy is Spark's choice by size unless the dimension comes from ``sized``: beyond the
+bounds both sides are shuffled, and AQE splits the partitions of hot keys.
+"""
 
 from __future__ import annotations
 
@@ -33,7 +37,8 @@ def fits_broadcast(side: DataFrame) -> bool:
 def sized(side: DataFrame) -> DataFrame:
     """``side`` with a broadcast hint when measured to fit, else as it is.
 
-    Without the hint Spark joins by shuffle, where AQE splits partitions of hot keys.
+    For a side whose size Spark cannot estimate, such as one aggregated from a large table. The
+    hint stays through later projections and filters, so one measurement serves several joins.
     """
     return F.broadcast(side) if fits_broadcast(side) else side
 
@@ -50,10 +55,8 @@ def look_up(
 
     The dimension's key has to be unique. It is not added, so no name occurs twice.
     """
-    side = sized(
-        dimension.select(
-            F.col(key).alias("_key"), *(F.col(c).alias(new) for c, new in columns.items())
-        )
+    side = dimension.select(
+        F.col(key).alias("_key"), *(F.col(c).alias(new) for c, new in columns.items())
     )
     return frame.join(side, frame[field] == side["_key"], how).drop("_key")
 
@@ -63,12 +66,10 @@ def decode(frame: DataFrame, code: Column, codebook: DataFrame, domain: str) ->
 
     A code not listed gets the label for all other codes and the class ``other``.
     """
-    side = sized(
-        codebook.filter(F.col("domain") == domain).select(
-            F.col("code").alias("_code"),
-            F.col("label").alias("_label"),
-            F.col("code_class").alias("_class"),
-        )
+    side = codebook.filter(F.col("domain") == domain).select(
+        F.col("code").alias("_code"),
+        F.col("label").alias("_label"),
+        F.col("code_class").alias("_class"),
     )
     return (
         frame.join(side, F.trim(code) == side["_code"], "left")
@@ -88,7 +89,7 @@ def orphan_keys(frame: DataFrame, field: str, dimension: DataFrame, key: str) ->
     Rows are counted per key first, so a hot key reaches the anti join as one row.
     """
     counted = frame.groupBy(F.col(field).alias("_value")).agg(F.count(F.lit(1)).alias("rows"))
-    keys = sized(dimension.select(F.col(key).alias("_member")))
+    keys = dimension.select(F.col(key).alias("_member"))
     return (
         counted.filter(F.col("_value").isNotNull())
         .join(keys, counted["_value"] == keys["_member"], "left_anti")

@@ -18,7 +18,7 @@ from starmart.functions import (
 )
 from starmart.operators.dedup import first_per_key
 from starmart.operators.filters import all_present, in_dimension, in_values
-from starmart.operators.lookup import look_up
+from starmart.operators.lookup import look_up, sized
 from starmart.schemas import FACT_COLUMNS, KEPT_COLUMNS
 
 LOAD_PERIOD = ("load_year", "load_month")
@@ -74,9 +74,10 @@ def derive(cleaned: DataFrame, config: MartConfig) -> DataFrame:
 
 def fact_rows(arrivals: DataFrame, airports: DataFrame, config: MartConfig) -> DataFrame:
     """The fact's 14 columns, followed by columns of the input that are not raw ones."""
-    derived = derive(clean_arrivals(arrivals, airports, config), config)
+    home = sized(airports.select("airport_code", "municipality"))
+    derived = derive(clean_arrivals(arrivals, home, config), config)
     placed = look_up(
-        derived, "Airport_Code", airports, "airport_code", {"municipality": "Airport_Municipality"}
+        derived, "Airport_Code", home, "airport_code", {"municipality": "Airport_Municipality"}
     )
     return placed.select(*FACT_COLUMNS, *(c for c in placed.columns if c not in FACT_COLUMNS))
 
@@ -86,7 +87,7 @@ def with_airline(fact: DataFrame, airlines: DataFrame) -> DataFrame:
     return look_up(
         fact,
         "Airline_Code",
-        airlines,
+        sized(airlines),
         "airline_code",
         {"airline_name": "airline_name", "airline_country": "airline_country"},
         "left",

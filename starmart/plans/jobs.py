@@ -22,7 +22,7 @@ from starmart.operators.dimensions import (
     period_rows,
     seed,
 )
-from starmart.operators.insert import absent_rows
+from starmart.operators.insert import absent_rows, keys_met
 from starmart.operators.lookup import sized
 from starmart.operators.summaries import latest_period
 from starmart.plans import quality
@@ -116,13 +116,15 @@ def load_batch(warehouse: Warehouse, arrivals: DataFrame, config: MartConfig) ->
             )
         )
 
-        known = warehouse.read(FACT_TABLE)
-        loaded_before = known.join(
+        history = warehouse.read(FACT_TABLE)
+        loaded_before = history.join(
             sized(delivered.toDF("Year", "Month")), ["Year", "Month"], "left_semi"
         )
         repeated = not loaded_before.isEmpty()
         before = warehouse.count(FACT_TABLE)
-        new = absent_rows(batch.select(*FACT_COLUMNS), known, key_of(FACT_TABLE), unique=True)
+        key = key_of(FACT_TABLE)
+        rows = batch.select(*FACT_COLUMNS)
+        new = absent_rows(rows, keys_met(history, rows, key), key, unique=True)
         warehouse.append(FACT_TABLE, new)
         after = warehouse.count(FACT_TABLE)
         quality.enforce(quality.growth_check(spark, before, after, repeated))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,9 @@ ORDERS_CONFIG = MartConfig(
 REPORT_YEAR = 1996
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, opened once per session."""
     path = f"{sf_dir}/{name}.parquet"
     size_shuffles(spark, paths.size_of(spark, path))
     return spark.read.parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -13,14 +13,13 @@ def first_per_key(
 ) -> DataFrame:
     """Keep the smallest row of each key, comparing ``order`` and then all other columns.
 
-    Nulls sort first and null keys count as equal. The minimum of a struct is combined on the
-    map side, so a key with many copies sends one row per task over the shuffle; a window over
-    the key would bring all copies into one task.
+    Nulls sort first and null keys count as equal. Asking for row number 1 lets Spark keep one
+    row per key in every task before the shuffle (a window group limit), so a key with many
+    copies reaches its window as one row per task.
     """
     rest = [c for c in dict.fromkeys([*order, *frame.columns]) if c not in keys]
     if not rest:
         return frame.select(*keys).distinct()
-    smallest = frame.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return smallest.select(
-        *(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in frame.columns)
-    )
+    ordered = Window.partitionBy(*keys).orderBy(*(F.asc_nulls_first(c) for c in rest))
+    numbered = frame.withColumn("_number", F.row_number().over(ordered))
+    return numbered.filter(F.col("_number") == 1).drop("_number")

@@ -17,7 +17,7 @@ from starmart.functions import (
     sas_day,
 )
 from starmart.operators.dedup import first_per_key
-from starmart.operators.filters import all_present, in_dimension, in_values
+from starmart.operators.filters import all_present, in_values
 from starmart.operators.lookup import look_up, sized
 from starmart.schemas import FACT_COLUMNS, KEPT_COLUMNS
 
@@ -36,17 +36,19 @@ def cleaning_steps(config: MartConfig) -> dict[str, Column]:
 
 
 def clean_arrivals(arrivals: DataFrame, airports: DataFrame, config: MartConfig) -> DataFrame:
-    """Qualifying arrivals at home airports, one row per arrival number.
+    """Qualifying arrivals at home airports with the municipality, one row per arrival number.
 
-    Predicates and the semi join come first: they are pushed below the shuffle that finds
+    Predicates and the airport join come first, so only rows that stay are shuffled to find
     duplicates. A missing arrival number cannot be a key, so such rows are left out.
     """
     rows = arrivals
     for condition in cleaning_steps(config).values():
         rows = rows.filter(condition)
     rows = rows.filter(F.col("cicid").isNotNull())
-    rows = in_dimension(rows, "i94port", airports, "airport_code")
-    return first_per_key(rows, ["cicid"], SURVIVOR_ORDER)
+    at_home = look_up(
+        rows, "i94port", sized(airports), "airport_code", {"municipality": "Airport_Municipality"}
+    )
+    return first_per_key(at_home, ["cicid"], SURVIVOR_ORDER)
 
 
 def derive(cleaned: DataFrame, config: MartConfig) -> DataFrame:
@@ -64,22 +66,19 @@ def derive(cleaned: DataFrame, config: MartConfig) -> DataFrame:
         "Age": age,
         "Age_Group": age_group(age),
         "Airport_Code": F.col("i94port"),
+        "Airport_Municipality": F.col("Airport_Municipality"),
         "Adm_Number": admission_number(F.col("admnum")),
         "Airline_Code": fill_unknown(F.col("airline"), config.unknown_airline),
         "Flight_Number": F.col("fltno"),
     }
-    others = [c for c in cleaned.columns if c not in KEPT_COLUMNS]
+    others = [c for c in cleaned.columns if c not in KEPT_COLUMNS and c not in fact]
     return cleaned.select(*(value.alias(name) for name, value in fact.items()), *others)
 
 
 def fact_rows(arrivals: DataFrame, airports: DataFrame, config: MartConfig) -> DataFrame:
     """The fact's 14 columns, followed by columns of the input that are not raw ones."""
-    home = sized(airports.select("airport_code", "municipality"))
-    derived = derive(clean_arrivals(arrivals, home, config), config)
-    placed = look_up(
-        derived, "Airport_Code", home, "airport_code", {"municipality": "Airport_Municipality"}
-    )
-    return placed.select(*FACT_COLUMNS, *(c for c in placed.columns if c not in FACT_COLUMNS))
+    derived = derive(clean_arrivals(arrivals, airports, config), config)
+    return derived.select(*FACT_COLUMNS, *(c for c in derived.columns if c not in FACT_COLUMNS))
 
 
 def with_airline(fact: DataFrame, airlines: DataFrame) -> DataFrame:

@@ -55,14 +55,18 @@ class MartJob:
 def set_up(
     warehouse: Warehouse, airports: DataFrame, airlines: DataFrame, config: MartConfig
 ) -> None:
-    """Reset the warehouse and fill the dimensions that do not depend on a period."""
+    """Reset the warehouse and fill the dimensions that do not depend on a period.
+
+    Seeds and cleaned dimensions have unique keys.
+    """
     warehouse.drop()
     warehouse.create()
     for table in SEEDS:
-        warehouse.insert_if_absent(table, seed(warehouse.spark, table))
-    warehouse.insert_if_absent("airports", clean_airports(airports, config))
-    warehouse.insert_if_absent("municipalities", municipalities(warehouse.read("airports")))
-    warehouse.insert_if_absent("airlines", clean_airlines(airlines, config))
+        warehouse.insert_if_absent(table, seed(warehouse.spark, table), unique=True)
+    warehouse.insert_if_absent("airports", clean_airports(airports, config), unique=True)
+    cities = municipalities(warehouse.read("airports"))
+    warehouse.insert_if_absent("municipalities", cities, unique=True)
+    warehouse.insert_if_absent("airlines", clean_airlines(airlines, config), unique=True)
 
 
 def _with_period(arrivals: DataFrame, year: int, month: int) -> DataFrame:
@@ -130,7 +134,7 @@ def load_batch(warehouse: Warehouse, arrivals: DataFrame, config: MartConfig) ->
         quality.enforce(quality.growth_check(spark, before, after, repeated))
 
         for table in PERIOD_DIMENSIONS:
-            warehouse.insert_if_absent(table, periods[table])
+            warehouse.insert_if_absent(table, periods[table], unique=True)
         return after - before
     finally:
         paths.delete(spark, staging)

@@ -59,9 +59,11 @@ def source_checks(arrivals: DataFrame, qualifies: Column) -> DataFrame:
 def batch_checks(batch: DataFrame, year: str = "load_year", month: str = "load_month") -> DataFrame:
     """Checks of new fact rows that need no shuffle, in one pass over them.
 
-    ``year`` and ``month`` name the columns with the period each row was loaded for.
+    ``year`` and ``month`` name the columns with the period each row was loaded for. A row
+    whose period is not known or not a calendar month does not match.
     """
-    wrong_period = outside_period("Year", "Month", F.col(year), F.col(month))
+    outside = outside_period("Year", "Month", F.col(year), F.col(month))
+    wrong_period = F.coalesce(outside | ~F.col(month).between(1, 12), F.lit(True))
     filled = [F.count(F.col(c)).alias(f"_{c}") for c in FACT_COLUMNS]
     totals = batch.agg(
         F.count(F.lit(1)).alias("rows"),

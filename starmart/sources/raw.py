@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from starmart.functions import as_integer
 from starmart.schemas import KEPT_COLUMNS, RAW_ARRIVALS
 
 CORRUPT = "_corrupt_record"
@@ -49,6 +48,6 @@ def kept(frame: DataFrame) -> DataFrame:
 def file_period() -> tuple[Column, Column]:
     """Year and month in the name of the file a row was read from."""
     name = F.col("_metadata.file_name")
-    year = as_integer(F.regexp_extract(name, RAW_FILE_PATTERN, 2))
-    month = as_integer(F.regexp_extract(name, RAW_FILE_PATTERN, 1))
+    year = F.regexp_extract(name, RAW_FILE_PATTERN, 2).try_cast("int")
+    month = F.regexp_extract(name, RAW_FILE_PATTERN, 1).try_cast("int")
     return year, month

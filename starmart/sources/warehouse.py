@@ -25,10 +25,10 @@ class Warehouse:
         return paths.exists(self.spark, self.path(table))
 
     def create(self, tables: Iterable[str] = tuple(TABLES)) -> None:
-        """Create the tables that do not exist, without rows."""
+        """Create the tables that do not exist, without rows: a folder with a declared layout."""
         for table in tables:
             if not self.exists(table):
-                self._write(self.spark.createDataFrame([], TABLES[table]), table)
+                paths.make_folder(self.spark, self.path(table))
 
     def drop(self, tables: Iterable[str] = tuple(TABLES)) -> None:
         """Remove the tables that exist."""

@@ -41,8 +41,11 @@ def test_age(spark):
 
 
 def test_casts(spark):
-    numbers = [12.9, -12.9, float("nan"), 3e9, None]
-    assert values(spark, "double", numbers, fn.as_integer) == [12, -12, None, None, None]
+    numbers = [12.9, -12.9, float("nan"), 3e9, -3e9, float("inf"), None]
+    assert values(spark, "double", numbers, fn.as_integer) == [12, -12, *[None] * 5]
+    edges = [2147483647.9, 2147483648.0, -2147483648.9, -2147483649.0]
+    assert values(spark, "double", edges, fn.as_integer) == [2147483647, None, -2147483648, None]
+    assert values(spark, "double", [1e19, -1e19, float("nan")], fn.key_text) == [None] * 3
     assert values(spark, "double", [1.0, 3e9, None], fn.key_text) == ["1", "3000000000", None]
     assert values(spark, "int", [7, None], fn.as_label) == ["7", None]
 

@@ -88,6 +88,7 @@ def test_filters_come_before_the_shuffle(fact):
     plan = fact._jdf.queryExecution().executedPlan().toString()
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(shuffles) == 1
+    assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning")[1]
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
 
 
@@ -143,6 +144,10 @@ def test_batch_checks(spark, fact, airports):
     assert all(passed for passed, _ in found.values())
     wrong = outcomes(quality.batch_checks(batch.withColumn("load_month", F.lit(2))))
     assert wrong["period_matches"] == (False, 9)
+    unknown = outcomes(quality.batch_checks(batch.withColumn("load_month", F.lit(None).cast("int"))))
+    assert unknown["period_matches"] == (False, 9)
+    thirteenth = batch.withColumns({"Month": F.lit(13), "load_month": F.lit(13)})
+    assert outcomes(quality.batch_checks(thirteenth))["period_matches"] == (False, 9)
     hollow = batch.withColumns({"Day": F.lit(None).cast("int"), "Age": F.lit(200)})
     found = outcomes(quality.batch_checks(hollow))
     assert found["no_empty_column"] == (False, 1)

@@ -51,6 +51,14 @@ def test_first_per_key_against_brute_force(spark):
     assert rows(first_per_key(frame, ["k"])) == sorted((k, *v) for k, v in best.items())
 
 
+def test_copies_are_reduced_before_the_shuffle(people):
+    plan = first_per_key(people, ["id"])._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    shuffle = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    limits = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line]
+    assert any(i > shuffle for i in limits)
+
+
 def test_insert_if_absent(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     new = spark.createDataFrame([("b", 9), ("c", 3), ("c", 4), (None, 5)], "k string, v int")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from starmart.driver.adapters import REPORT_YEAR
-from starmart.driver.queries import PROFILED, SECOND_DELIVERY_YEAR
+from starmart.driver.queries import INCREMENT_PERIODS, PROFILED, SECOND_DELIVERY_YEAR
 from starmart.schemas import KEPT_COLUMNS, RAW_ARRIVALS
 
 ARR = """
@@ -223,6 +223,10 @@ def _dims_nonempty() -> str:
     )
 
 
+def _periods() -> str:
+    return " OR ".join(f"(Year = {y} AND Month = {m})" for y, m in INCREMENT_PERIODS)
+
+
 KEPT = ", ".join(KEPT_COLUMNS)
 
 ORACLE: dict[str, str] = {
@@ -247,14 +251,14 @@ ORACLE: dict[str, str] = {
                          l_returnflag NULLS FIRST, l_linestatus NULLS FIRST,
                          l_shipdate NULLS FIRST) AS rn
             FROM lineitem) WHERE rn = 1""",
-    "sas_day_of_month": """
+    "sas_day": """
         SELECT o_orderkey, arrdate,
                DATE '1960-01-01' + CAST(floor(arrdate) AS INTEGER) AS arrival,
                CAST(day(DATE '1960-01-01' + CAST(floor(arrdate) AS INTEGER)) AS INTEGER) AS day
         FROM (SELECT o_orderkey,
                      CAST(CAST(o_orderdate AS DATE) - DATE '1960-01-01' AS DOUBLE) AS arrdate
               FROM orders)""",
-    "admission_numbers": """
+    "admission_number": """
         SELECT o_orderkey, split_part(CAST(o_totalprice AS VARCHAR), '.', 1) AS admnum
         FROM orders""",
     "age_and_group": f"""{WITH_ARR}
@@ -289,7 +293,7 @@ ORACLE: dict[str, str] = {
     "dim_airports_clean": CLEAN_AIRPORTS,
     "dim_airlines_clean": CLEAN_AIRLINES,
     "dim_insert_distinct": f"SELECT DISTINCT municipality FROM ({AIRPORT_SOURCE})",
-    "insert_absent_events": f"""
+    "insert_if_absent": f"""
         SELECT event_id, CASE WHEN {FIRST_HALF} THEN 'kept' ELSE event_type END AS event_type, value
         FROM events""",
     "row_delta": f"""
@@ -369,7 +373,7 @@ ORACLE: dict[str, str] = {
     "distinct_values": _distinct_values(),
     "distinct_counts": f"""
         SELECT field, count(*) AS n_distinct FROM ({_distinct_values()}) GROUP BY field""",
-    "null_profile_arrivals": _null_profile(),
+    "null_profile": _null_profile(),
     "table_shape": "SELECT count(*) AS rows, CAST(11 AS INTEGER) AS columns FROM lineitem",
     "dq_report": _dq_report(),
     "dq_repeated_keys": _check("key_unique", "error", "count(*) = 0", "count(*)", "0")
@@ -378,6 +382,16 @@ ORACLE: dict[str, str] = {
     "dq_orphan_keys": _orphans(),
     "typed_csv_scan": f"{WITH_ARR} SELECT {KEPT} FROM arr",
     "landed_period": f"{WITH_ARR} SELECT {KEPT} FROM arr",
+    "airport_csv_scan": AIRPORT_SOURCE,
+    "warehouse_dimensions": f"""
+        SELECT 'airports' AS dimension, airport_code AS key FROM ({CLEAN_AIRPORTS})
+        UNION ALL SELECT DISTINCT 'municipalities', municipality FROM ({CLEAN_AIRPORTS})
+        UNION ALL SELECT 'airlines', airline_code FROM ({CLEAN_AIRLINES})
+        UNION ALL SELECT 'visatypes', * FROM (VALUES ('E1'), ('E2'), ('E3'))
+        UNION ALL SELECT 'genders', * FROM (VALUES ('M'), ('F'), ('X'), ('U'))
+        UNION ALL SELECT 'agegroups', * FROM (VALUES ('1'), ('2'), ('3'), ('4'), ('5'))""",
+    "monthly_increment": f"""{WITH_FACT}
+        SELECT * FROM fact WHERE {_periods()}""",
     # The first delivery is a part of the second, so the fact holds every arrival once.
     "warehouse_loaded_fact": f"""{WITH_FACT}
         SELECT * FROM fact WHERE Year < {SECOND_DELIVERY_YEAR}

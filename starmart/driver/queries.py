@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,10 @@ from starmart.operators.lookup import decode, orphan_keys, sized
 from starmart.operators.profile import null_profile, shape
 from starmart.plans import fact as fact_plan
 from starmart.plans import jobs, marts, quality
-from starmart.schemas import FACT_TABLE, KEPT_COLUMNS
+from starmart.schemas import DIMENSIONS, FACT_TABLE, KEPT_COLUMNS, PERIOD_DIMENSIONS, key_of
 from starmart.session import scratch_path
 from starmart.sources import landing
+from starmart.sources.dimension_files import read_airports
 from starmart.sources.raw import kept, raw_file_name, read_raw
 from starmart.sources.warehouse import Warehouse
 
@@ -41,10 +43,11 @@ QUERIES: dict[str, Query] = {}
 
 PROFILED = ("gender", "airline", "visatype", "i94port", "fltno")
 SECOND_DELIVERY_YEAR = 1998
+INCREMENT_PERIODS = ((1996, 12), (1997, 1))
 
 
 def registered(query: Query) -> Query:
-    QUERIES[query.__name__] = query
+    QUERIES[query.__name__.removesuffix("_query")] = query
     return query
 
 
@@ -91,7 +94,7 @@ def dedup_first(spark, sf_dir):
 
 
 @registered
-def sas_day_of_month(spark, sf_dir):
+def sas_day_query(spark, sf_dir):
     days = F.col("arrdate")
     return ad.orders(spark, sf_dir).select(
         "o_orderkey", "arrdate", sas_date(days).alias("arrival"), sas_day(days).alias("day")
@@ -99,7 +102,7 @@ def sas_day_of_month(spark, sf_dir):
 
 
 @registered
-def admission_numbers(spark, sf_dir):
+def admission_number_query(spark, sf_dir):
     price = F.col("o_totalprice").cast("string")
     return ad.orders(spark, sf_dir).select("o_orderkey", admission_number(price).alias("admnum"))
 
@@ -173,7 +176,7 @@ def dim_insert_distinct(spark, sf_dir):
 
 
 @registered
-def insert_absent_events(spark, sf_dir):
+def insert_if_absent_query(spark, sf_dir):
     """Events of the first half of the month are there; the whole feed arrives again."""
     events = ad.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     first_half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
@@ -345,7 +348,7 @@ def distinct_counts(spark, sf_dir):
 
 
 @registered
-def null_profile_arrivals(spark, sf_dir):
+def null_profile_query(spark, sf_dir):
     """Raw arrivals: the columns the fact does not use are empty here."""
     return null_profile(ad.raw_arrivals(spark, sf_dir))
 
@@ -427,6 +430,14 @@ def typed_csv_scan(spark, sf_dir):
     return kept(read_raw(spark, path))
 
 
+@registered
+def airport_csv_scan(spark, sf_dir):
+    """Write the uncleaned airports as CSV, read them back by name."""
+    path = scratch_path(spark, "airports-csv")
+    ad.airport_source(spark, sf_dir).write.option("header", True).csv(path)
+    return read_airports(spark, path)
+
+
 @registered
 def landed_period(spark, sf_dir):
     """Deliver all arrivals as the raw file of one period, land it and read the landing."""
@@ -439,19 +450,58 @@ def landed_period(spark, sf_dir):
 
 
 @registered
-def warehouse_loaded_fact(spark, sf_dir):
-    """Set up a warehouse, load the arrivals before a year, then deliver all of them again."""
+def warehouse_dimensions(spark, sf_dir):
+    """Keys of the dimensions after a reset and two set-ups with the same sources."""
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
-    jobs.set_up(
-        warehouse,
-        ad.port_source(spark, sf_dir),
-        ad.carrier_source(spark, sf_dir),
+    sources = ad.airport_source(spark, sf_dir), ad.airline_source(spark, sf_dir)
+    jobs.set_up(warehouse, *sources, ad.ORDERS_CONFIG)
+    jobs.fill_dimensions(warehouse, *sources, ad.ORDERS_CONFIG)
+    filled = [name for name in DIMENSIONS if name not in PERIOD_DIMENSIONS]
+    keys = [
+        warehouse.read(name).select(
+            F.lit(name).alias("dimension"), F.col(key_of(name)).cast("string").alias("key")
+        )
+        for name in filled
+    ]
+    return reduce(DataFrame.unionByName, keys)
+
+
+def _prepared_mart(spark: SparkSession, sf_dir: str) -> jobs.MartJob:
+    root = scratch_path(spark, "mart")
+    job = jobs.MartJob(
+        spark,
+        f"{root}/incoming",
+        f"{root}/landed",
+        Warehouse(spark, f"{root}/warehouse"),
         ad.ORDERS_CONFIG,
     )
+    ports, carriers = ad.port_source(spark, sf_dir), ad.carrier_source(spark, sf_dir)
+    jobs.set_up(job.warehouse, ports, carriers, job.config)
+    return job
+
+
+@registered
+def monthly_increment(spark, sf_dir):
+    """Deliver a December and the January after it as raw CSV; load one, advance to the other."""
+    job = _prepared_mart(spark, sf_dir)
+    rows = ad.raw_arrivals(spark, sf_dir)
+    for year, month in INCREMENT_PERIODS:
+        delivery = rows.filter(filters.in_period("i94yr", "i94mon", F.lit(year), F.lit(month)))
+        target = f"{job.incoming}/{raw_file_name(year, month)}"
+        delivery.write.option("header", True).csv(target)
+    jobs.load_period(job, *INCREMENT_PERIODS[0])
+    jobs.advance(job)
+    return job.warehouse.read(FACT_TABLE)
+
+
+@registered
+def warehouse_loaded_fact(spark, sf_dir):
+    """Load the arrivals before a year into a new warehouse, then deliver all of them again."""
+    job = _prepared_mart(spark, sf_dir)
     delivered = ad.arrivals(spark, sf_dir).withColumns(
         {"load_year": as_integer(F.col("i94yr")), "load_month": as_integer(F.col("i94mon"))}
     )
     earlier = delivered.filter(F.col("load_year") < SECOND_DELIVERY_YEAR)
-    jobs.load_batch(warehouse, earlier, ad.ORDERS_CONFIG)
-    jobs.load_batch(warehouse, delivered, ad.ORDERS_CONFIG)
-    return warehouse.read(FACT_TABLE)
+    jobs.load_batch(job.warehouse, earlier, job.config)
+    jobs.load_batch(job.warehouse, delivered, job.config)
+    return job.warehouse.read(FACT_TABLE)

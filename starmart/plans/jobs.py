@@ -52,15 +52,13 @@ class MartJob:
     config: MartConfig = field(default_factory=MartConfig)
 
 
-def set_up(
+def fill_dimensions(
     warehouse: Warehouse, airports: DataFrame, airlines: DataFrame, config: MartConfig
 ) -> None:
-    """Reset the warehouse and fill the dimensions that do not depend on a period.
+    """Insert what is new into the dimensions that do not depend on a period.
 
     Seeds and cleaned dimensions have unique keys.
     """
-    warehouse.drop()
-    warehouse.create()
     for table in SEEDS:
         warehouse.insert_if_absent(table, seed(warehouse.spark, table), unique=True)
     warehouse.insert_if_absent("airports", clean_airports(airports, config), unique=True)
@@ -69,6 +67,15 @@ def set_up(
     warehouse.insert_if_absent("airlines", clean_airlines(airlines, config), unique=True)
 
 
+def set_up(
+    warehouse: Warehouse, airports: DataFrame, airlines: DataFrame, config: MartConfig
+) -> None:
+    """Reset the warehouse and fill those dimensions."""
+    warehouse.drop()
+    warehouse.create()
+    fill_dimensions(warehouse, airports, airlines, config)
+
+
 def _with_period(arrivals: DataFrame, year: int, month: int) -> DataFrame:
     return arrivals.withColumns({"load_year": F.lit(year), "load_month": F.lit(month)})
 
@@ -113,6 +120,7 @@ def load_batch(warehouse: Warehouse, arrivals: DataFrame, config: MartConfig) ->
             quality.union(
                 [
                     quality.source_checks(arrivals, qualifies),
+                    quality.period_checks(arrivals, batch, *LOAD_PERIOD),
                     quality.batch_checks(batch, *LOAD_PERIOD),
                     quality.key_checks(batch),
                     quality.dimension_checks(spark, _pending_dimensions(warehouse, periods)),

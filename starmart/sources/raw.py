@@ -10,8 +10,9 @@ from starmart.schemas import KEPT_COLUMNS, RAW_ARRIVALS
 
 CORRUPT = "_corrupt_record"
 
-# Name of the raw file of a period, as a format and as a pattern.
+# Name of the raw file of a period, as a format, a glob and a pattern.
 RAW_FILE_NAME = "F_{month}_{year}.csv"
+RAW_FILE_GLOB = "F_*.csv"
 RAW_FILE_PATTERN = r"F_(\d{1,2})_(\d{4})\.csv"
 
 
@@ -46,8 +47,8 @@ def kept(frame: DataFrame) -> DataFrame:
 
 
 def file_period() -> tuple[Column, Column]:
-    """Year and month in the name of the file a row was read from."""
-    name = F.col("_metadata.file_name")
-    year = F.regexp_extract(name, RAW_FILE_PATTERN, 2).try_cast("int")
-    month = F.regexp_extract(name, RAW_FILE_PATTERN, 1).try_cast("int")
+    """Year and month in the name of the raw file, or folder of its parts, a row was read from."""
+    path = F.col("_metadata.file_path")
+    year = F.regexp_extract(path, RAW_FILE_PATTERN, 2).try_cast("int")
+    month = F.regexp_extract(path, RAW_FILE_PATTERN, 1).try_cast("int")
     return year, month

@@ -14,20 +14,20 @@ from pyspark.sql.streaming import StreamingQuery
 from starmart.config import MartConfig
 from starmart.plans.jobs import load_batch
 from starmart.schemas import KEPT_COLUMNS
-from starmart.sources.raw import csv_options, file_period, raw_schema
+from starmart.sources.raw import RAW_FILE_GLOB, csv_options, file_period, raw_schema
 from starmart.sources.warehouse import Warehouse
 
 
-def read_arriving(spark: SparkSession, incoming: str, files_per_batch: int) -> DataFrame:
-    """Raw rows of new files with the period in the file's name."""
+def read_arriving(
+    spark: SparkSession, incoming: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Raw rows of new files, or folders of parts, with the period in their name."""
     year, month = file_period()
-    return (
-        spark.readStream.schema(raw_schema())
-        .options(**csv_options())
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", "F_*.csv")
-        .csv(incoming)
-        .select(*KEPT_COLUMNS, year.alias("load_year"), month.alias("load_month"))
+    reader = spark.readStream.schema(raw_schema()).options(**csv_options())
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(f"{incoming}/{RAW_FILE_GLOB}").select(
+        *KEPT_COLUMNS, year.alias("load_year"), month.alias("load_month")
     )
 
 
@@ -37,9 +37,13 @@ def load_arriving(
     checkpoint: str,
     warehouse: Warehouse,
     config: MartConfig | None = None,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Load all files present that were not loaded before, then stop."""
+    """Load all files present that were not loaded before, then stop.
+
+    They are one batch unless ``files_per_batch`` is given. A batch is checked as a whole, so
+    the parts of a folder should not be spread over several.
+    """
     settings = config or MartConfig()
 
     def load(batch: DataFrame, batch_id: int) -> None:

@@ -157,6 +157,16 @@ def test_batch_checks(spark, fact, airports):
     assert extra["fact_column_count"] == (False, 15)
 
 
+def test_a_period_of_a_batch_without_rows_is_found(fact, spark):
+    batch = fact.withColumns({"load_year": F.lit(2016), "load_month": F.lit(1)})
+    source = [(2016, 1), (2016, 1), (2016, 2), (None, None)]
+    arrivals = spark.createDataFrame(source, "load_year int, load_month int")
+    found = outcomes(quality.period_checks(arrivals, batch))
+    assert found == {"every_period_has_rows": (False, 2)}
+    found = outcomes(quality.period_checks(arrivals.limit(2), batch))
+    assert found == {"every_period_has_rows": (True, 0)}
+
+
 def test_key_and_source_checks(spark, fact):
     assert outcomes(quality.key_checks(fact)) == {"key_unique": (True, 0)}
     assert outcomes(quality.key_checks(fact.union(fact))) == {"key_unique": (False, 9)}
@@ -179,8 +189,9 @@ def test_missing_and_empty_dimensions_are_told_apart(spark, airports):
         quality.enforce(report)
 
 
-def test_warnings_do_not_stop_a_load(spark):
+def test_warnings_do_not_stop_a_load(spark, caplog):
     quality.enforce(quality.growth_check(spark, 5, 5, repeated=True))
+    assert "fact_grew: 0, expected > 0" in caplog.text
     with pytest.raises(quality.QualityError, match="fact_grew"):
         quality.enforce(quality.growth_check(spark, 5, 5, repeated=False))
 
@@ -325,11 +336,17 @@ def test_arriving_files(spark, place, tmp_path):
 
     run()
     assert place.fact_ids() == KEPT_IDS
-    place.deliver(2016, 2, [OTHER_PERIOD])
+    folder = place.incoming / raw_file_name(2016, 2)
+    folder.mkdir()
+    write_raw(folder / "part-0.csv", [OTHER_PERIOD])
+    write_raw(folder / "part-1.csv", [for_month(OTHER_PERIOD, 2016, 2, 14)])
+    place.deliver(2016, 3, [for_month(OTHER_PERIOD, 2016, 3, n) for n in (14, 15)])
     run()
     run()
-    assert place.fact_ids() == sorted([*KEPT_IDS, "13"])
-    assert jobs.registered_period(place.warehouse) == (2016, 2)
+    assert place.fact_ids() == sorted([*KEPT_IDS, "13", "14", "15"])
+    assert jobs.registered_period(place.warehouse) == (2016, 3)
+    first = place.warehouse.read(FACT_TABLE).filter("CICID = '14'").first()
+    assert first.Month == 2
 
 
 def test_command_line(spark, place, capsys, tmp_path):

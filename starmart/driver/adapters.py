@@ -11,6 +11,7 @@ from starmart.config import MartConfig
 from starmart.functions.calendar import SAS_EPOCH
 from starmart.operators.dimensions import clean_airlines, clean_airports
 from starmart.operators.filters import in_dimension
+from starmart.operators.lookup import sized
 from starmart.schemas import KEPT_COLUMNS, RAW_ARRIVALS
 from starmart.session import size_shuffles
 from starmart.sources import paths
@@ -114,7 +115,8 @@ def home_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segment_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_airlines(carrier_source(spark, sf_dir), ORDERS_CONFIG)
+    """The few airlines, which Spark cannot know to be few: their source is a large table."""
+    return sized(clean_airlines(carrier_source(spark, sf_dir), ORDERS_CONFIG))
 
 
 def airport_source(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from starmart.functions import (
 from starmart.operators import dimensions, filters, summaries
 from starmart.operators.dedup import first_per_key
 from starmart.operators.insert import absent_rows, insert_if_absent
-from starmart.operators.lookup import decode, orphan_keys, sized
+from starmart.operators.lookup import decode, orphan_keys
 from starmart.operators.profile import null_profile, shape
 from starmart.plans import fact as fact_plan
 from starmart.plans import jobs, marts, quality
@@ -43,7 +43,7 @@ QUERIES: dict[str, Query] = {}
 
 PROFILED = ("gender", "airline", "visatype", "i94port", "fltno")
 SECOND_DELIVERY_YEAR = 1998
-INCREMENT_PERIODS = ((1996, 12), (1997, 1))
+INCREMENT_PERIODS = ((1997, 12), (1998, 1))
 
 
 def registered(query: Query) -> Query:
@@ -83,9 +83,7 @@ def in_set_filter(spark, sf_dir):
 @registered
 def home_ports_semi(spark, sf_dir):
     rows = ad.arrivals(spark, sf_dir).select("cicid", "i94port")
-    return filters.in_dimension(
-        rows, "i94port", sized(ad.home_airports(spark, sf_dir)), "airport_code"
-    )
+    return filters.in_dimension(rows, "i94port", ad.home_airports(spark, sf_dir), "airport_code")
 
 
 @registered
@@ -412,7 +410,7 @@ def dq_orphan_keys(spark, sf_dir):
         [
             orphan_keys(rows, "Gender", dimensions.seed(spark, "genders"), "gender_code"),
             orphan_keys(
-                rows, "Airline_Code", sized(ad.segment_airlines(spark, sf_dir)), "airline_code"
+                rows, "Airline_Code", ad.segment_airlines(spark, sf_dir), "airline_code"
             ),
             orphan_keys(rows, "Age_Group", dimensions.seed(spark, "agegroups"), "agegroup_num"),
         ]

@@ -18,7 +18,7 @@ from starmart.functions import (
 )
 from starmart.operators.dedup import first_per_key
 from starmart.operators.filters import all_present, in_values
-from starmart.operators.lookup import look_up, sized
+from starmart.operators.lookup import look_up
 from starmart.schemas import FACT_COLUMNS, KEPT_COLUMNS
 
 LOAD_PERIOD = ("load_year", "load_month")
@@ -45,9 +45,8 @@ def clean_arrivals(arrivals: DataFrame, airports: DataFrame, config: MartConfig)
     for condition in cleaning_steps(config).values():
         rows = rows.filter(condition)
     rows = rows.filter(F.col("cicid").isNotNull())
-    at_home = look_up(
-        rows, "i94port", sized(airports), "airport_code", {"municipality": "Airport_Municipality"}
-    )
+    city = {"municipality": "Airport_Municipality"}
+    at_home = look_up(rows, "i94port", airports, "airport_code", city)
     return first_per_key(at_home, ["cicid"], SURVIVOR_ORDER)
 
 
@@ -86,7 +85,7 @@ def with_airline(fact: DataFrame, airlines: DataFrame) -> DataFrame:
     return look_up(
         fact,
         "Airline_Code",
-        sized(airlines),
+        airlines,
         "airline_code",
         {"airline_name": "airline_name", "airline_country": "airline_country"},
         "left",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import as_label, round_half_even
-from starmart.operators.lookup import look_up, sized
+from starmart.operators.lookup import look_up
 from starmart.operators.summaries import averages, count_by, rollup_counts, row_count
 from starmart.schemas import TABLES
 
@@ -60,7 +60,7 @@ def flights_with_airline(fact: DataFrame, airlines: DataFrame, n: int = 5) -> Da
     named = look_up(
         fact.select("CICID", "Monthly_Time", "Flight_Number", "Airline_Code"),
         "Airline_Code",
-        sized(airlines),
+        airlines,
         "airline_code",
         {"airline_name": "airline_name", "airline_country": "airline_country"},
     ).withColumnRenamed("Airline_Code", "airline_code")
@@ -78,9 +78,7 @@ def flights_with_airline(fact: DataFrame, airlines: DataFrame, n: int = 5) -> Da
 def arrivals_with_airport(fact: DataFrame, airports: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` arrivals by number with all columns of their airport but the equal code."""
     extra = [c for c in TABLES["airports"].fieldNames() if c != "airport_code"]
-    joined = look_up(
-        fact, "Airport_Code", sized(airports), "airport_code", {c: c for c in extra}
-    )
+    joined = look_up(fact, "Airport_Code", airports, "airport_code", {c: c for c in extra})
     return joined.orderBy("CICID").limit(n)
 
 

@@ -164,9 +164,15 @@ def _null_profile() -> str:
 
 def _orphans() -> str:
     known = {
+        "Year": "(SELECT year(o_orderdate) FROM orders)",
+        "Month": "(SELECT month(o_orderdate) FROM orders)",
+        "Monthly_Time": "(SELECT month(o_orderdate) || '_' || year(o_orderdate) FROM orders)",
+        "Visa_Type": "('E1', 'E2', 'E3')",
         "Gender": "('M', 'F', 'X', 'U')",
-        "Airline_Code": "(SELECT airline_code FROM airlines)",
         "Age_Group": "(1, 2, 3, 4, 5)",
+        "Airport_Code": "(SELECT airport_code FROM airports)",
+        "Airport_Municipality": "(SELECT municipality FROM airports)",
+        "Airline_Code": "(SELECT airline_code FROM airlines)",
     }
     parts = (
         f"SELECT '{c}' AS field, CAST({c} AS VARCHAR) AS value, count(*) AS rows FROM fact "

@@ -27,7 +27,7 @@ from starmart.functions import (
 from starmart.operators import dimensions, filters, summaries
 from starmart.operators.dedup import first_per_key
 from starmart.operators.insert import absent_rows, insert_if_absent
-from starmart.operators.lookup import decode, orphan_keys
+from starmart.operators.lookup import decode
 from starmart.operators.profile import null_profile, shape
 from starmart.plans import fact as fact_plan
 from starmart.plans import jobs, marts, quality
@@ -56,6 +56,18 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_plan.fact_rows(ad.arrivals(spark, sf_dir, home), home, ad.ORDERS_CONFIG)
 
 
+def _dimensions(
+    spark: SparkSession, sf_dir: str, airports: DataFrame, airlines: DataFrame
+) -> dict[str, DataFrame]:
+    return {
+        **{name: dimensions.seed(spark, name) for name in dimensions.SEEDS},
+        **dimensions.period_rows(ad.order_periods(spark, sf_dir)),
+        "airports": airports,
+        "airlines": airlines,
+        "municipalities": dimensions.municipalities(airports),
+    }
+
+
 # The fact and its steps.
 
 
@@ -392,28 +404,15 @@ def dq_repeated_keys(spark, sf_dir):
 def dq_dims_nonempty(spark, sf_dir):
     airports = dimensions.clean_airports(ad.airport_source(spark, sf_dir), ad.ORDERS_CONFIG)
     airlines = dimensions.clean_airlines(ad.airline_source(spark, sf_dir), ad.ORDERS_CONFIG)
-    periods = dimensions.period_rows(ad.order_periods(spark, sf_dir))
-    tables = {
-        **{name: dimensions.seed(spark, name) for name in dimensions.SEEDS},
-        **periods,
-        "airports": airports,
-        "airlines": airlines,
-        "municipalities": dimensions.municipalities(airports),
-    }
-    return quality.dimension_checks(spark, tables)
+    return quality.dimension_checks(spark, _dimensions(spark, sf_dir, airports, airlines))
 
 
 @registered
 def dq_orphan_keys(spark, sf_dir):
-    rows = _fact(spark, sf_dir)
-    return quality.union(
-        [
-            orphan_keys(rows, "Gender", dimensions.seed(spark, "genders"), "gender_code"),
-            orphan_keys(
-                rows, "Airline_Code", ad.segment_airlines(spark, sf_dir), "airline_code"
-            ),
-            orphan_keys(rows, "Age_Group", dimensions.seed(spark, "agegroups"), "agegroup_num"),
-        ]
+    """Order priorities are no visa types, and one segment and a missing one are no airlines."""
+    airports, airlines = ad.home_airports(spark, sf_dir), ad.segment_airlines(spark, sf_dir)
+    return quality.fact_orphans(
+        _fact(spark, sf_dir), _dimensions(spark, sf_dir, airports, airlines)
     )
 
 

@@ -6,6 +6,9 @@ bounds both sides are shuffled, and AQE splits the partitions of hot keys.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,19 +86,23 @@ def decode(frame: DataFrame, code: Column, codebook: DataFrame, domain: str) ->
     )
 
 
-def orphan_keys(frame: DataFrame, field: str, dimension: DataFrame, key: str) -> DataFrame:
-    """Keys of ``field`` without a dimension row, with the number of rows each.
+def orphan_keys(frame: DataFrame, dimensions: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Values without a dimension row as ``(field, value, rows)``, in one pass over ``frame``.
 
-    Rows are counted per key first, so a hot key reaches the anti join as one row.
+    ``dimensions`` gives for each field the dimension and its key. Rows are counted per
+    combination and then per value first, so a hot value reaches the anti join as one row.
     """
-    counted = frame.groupBy(F.col(field).alias("_value")).agg(F.count(F.lit(1)).alias("rows"))
-    keys = dimension.select(F.col(key).alias("_member"))
-    return (
-        counted.filter(F.col("_value").isNotNull())
-        .join(keys, counted["_value"] == keys["_member"], "left_anti")
-        .select(
-            F.lit(field).alias("field"),
-            F.col("_value").cast("string").alias("value"),
-            "rows",
-        )
+    fields = list(dimensions)
+    combined = frame.groupBy(*fields).agg(F.count(F.lit(1)).alias("n"))
+    as_text = combined.select("n", *(F.col(c).cast("string").alias(c) for c in fields))
+    values = (
+        as_text.unpivot(["n"], fields, "field", "value")
+        .filter(F.col("value").isNotNull())
+        .groupBy("field", "value")
+        .agg(F.sum("n").alias("rows"))
     )
+    members = [
+        table.select(F.lit(name).alias("field"), F.col(key).cast("string").alias("value"))
+        for name, (table, key) in dimensions.items()
+    ]
+    return values.join(reduce(DataFrame.unionByName, members), ["field", "value"], "left_anti")

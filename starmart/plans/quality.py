@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.filters import outside_period
-from starmart.schemas import FACT_COLUMNS
+from starmart.operators.lookup import orphan_keys
+from starmart.schemas import FACT_COLUMNS, FACT_REFERENCES, key_of
 
 REPORT = "check_name string, severity string, passed boolean, observed bigint, expected string"
 LOG = logging.getLogger(__name__)
@@ -139,6 +140,14 @@ def dimension_checks(spark: SparkSession, tables: Mapping[str, DataFrame | None]
     return union([one(name, table) for name, table in tables.items()])
 
 
+def fact_orphans(fact: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Fact keys that have no row in their dimension, which the store does not prevent."""
+    return orphan_keys(
+        fact,
+        {column: (tables[name], key_of(name)) for column, name in FACT_REFERENCES.items()},
+    )
+
+
 def growth_check(spark: SparkSession, before: int, after: int, repeated: bool) -> DataFrame:
     """The fact grew; loading a period again may add nothing."""
     severity = WARNING if repeated else ERROR

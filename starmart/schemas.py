@@ -78,6 +78,19 @@ PERIOD_DIMENSIONS = ("years", "months", "monthlytimes")
 FACT_COLUMNS = tuple(TABLES[FACT_TABLE].fieldNames())
 FACT_PARTITIONS = ("Year", "Month")
 
+# The dimension each fact column refers to.
+FACT_REFERENCES = {
+    "Year": "years",
+    "Month": "months",
+    "Monthly_Time": "monthlytimes",
+    "Visa_Type": "visatypes",
+    "Gender": "genders",
+    "Age_Group": "agegroups",
+    "Airport_Code": "airports",
+    "Airport_Municipality": "municipalities",
+    "Airline_Code": "airlines",
+}
+
 
 def key_of(table: str) -> str:
     return TABLES[table].fieldNames()[0]

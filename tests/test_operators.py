@@ -108,8 +108,10 @@ def test_decode(spark):
 
 
 def test_orphan_keys(spark, people):
-    known = spark.createDataFrame([("a",), ("b",)], "code string")
-    assert rows(lookup.orphan_keys(people, "name", known, "code")) == [("name", "c", 2)]
+    names = spark.createDataFrame([("a",), ("b",), ("1",)], "code string")
+    numbers = spark.createDataFrame([(2,)], "number int")
+    orphans = lookup.orphan_keys(people, {"name": (names, "code"), "id": (numbers, "number")})
+    assert rows(orphans) == [("id", "1", 3), ("name", "c", 2)]
 
 
 def test_clean_airports(spark):

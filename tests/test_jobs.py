@@ -25,8 +25,11 @@ from starmart.streaming.arrivals import load_arriving
 
 
 @pytest.fixture
-def airports(spark):
-    return spark.createDataFrame(HOME, TABLES["airports"])
+def airports(spark, tmp_path):
+    """A stored table, so Spark knows its size."""
+    path = str(tmp_path / "airports")
+    spark.createDataFrame(HOME, TABLES["airports"]).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @pytest.fixture

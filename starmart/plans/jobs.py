@@ -30,6 +30,7 @@ from starmart.plans.fact import LOAD_PERIOD, cleaning_steps, fact_rows
 from starmart.schemas import (
     DIMENSIONS,
     FACT_COLUMNS,
+    FACT_PARTITIONS,
     FACT_TABLE,
     PERIOD_DIMENSIONS,
     key_of,
@@ -93,6 +94,17 @@ def _pending_dimensions(
     return tables
 
 
+def delivered_periods(batch: DataFrame) -> DataFrame:
+    """Distinct ``(year, month_num)`` a batch was delivered for."""
+    year, month = F.col("load_year").alias("year"), F.col("load_month").alias("month_num")
+    return batch.filter(F.col("load_month").between(1, 12)).select(year, month).distinct()
+
+
+def in_periods(fact: DataFrame, periods: DataFrame) -> DataFrame:
+    """Fact rows of the periods. The periods prune the partitions, so others are not opened."""
+    return fact.join(periods.toDF(*FACT_PARTITIONS), list(FACT_PARTITIONS), "left_semi")
+
+
 def load_batch(warehouse: Warehouse, arrivals: DataFrame, config: MartConfig) -> int:
     """Check and append one batch of raw arrivals; returns the number of new fact rows.
 
@@ -108,9 +120,7 @@ def load_batch(warehouse: Warehouse, arrivals: DataFrame, config: MartConfig) ->
     fact_rows(arrivals, airports, config).write.mode("overwrite").parquet(staging)
     try:
         batch = spark.read.parquet(staging)
-        delivered = batch.select(
-            F.col("load_year").alias("year"), F.col("load_month").alias("month_num")
-        ).distinct()
+        delivered = sized(delivered_periods(batch))
         periods = period_rows(delivered)
 
         qualifies = F.lit(True)
@@ -129,17 +139,14 @@ def load_batch(warehouse: Warehouse, arrivals: DataFrame, config: MartConfig) ->
         )
 
         history = warehouse.read(FACT_TABLE)
-        loaded_before = history.join(
-            sized(delivered.toDF("Year", "Month")), ["Year", "Month"], "left_semi"
-        )
-        repeated = not loaded_before.isEmpty()
-        before = warehouse.count(FACT_TABLE)
+        touched = in_periods(history, delivered)
+        before = touched.count()
         key = key_of(FACT_TABLE)
         rows = batch.select(*FACT_COLUMNS)
-        new = absent_rows(rows, keys_met(history, rows, key), key, unique=True)
-        warehouse.append(FACT_TABLE, new)
-        after = warehouse.count(FACT_TABLE)
-        quality.enforce(quality.growth_check(spark, before, after, repeated))
+        known = touched.select(key) if config.numbers_within_period else keys_met(history, rows, key)
+        warehouse.append(FACT_TABLE, absent_rows(rows, known, key, unique=True))
+        after = in_periods(warehouse.read(FACT_TABLE), delivered).count()
+        quality.enforce(quality.growth_check(spark, before, after, repeated=before > 0))
 
         for table in PERIOD_DIMENSIONS:
             warehouse.insert_if_absent(table, periods[table], unique=True)

@@ -15,6 +15,7 @@ from rows import (
 
 from starmart.__main__ import main
 from starmart.config import MartConfig
+from starmart.operators.lookup import sized
 from starmart.plans import fact as fact_plan
 from starmart.plans import jobs, marts, quality
 from starmart.schemas import DIMENSIONS, FACT_COLUMNS, FACT_TABLE, TABLES
@@ -326,6 +327,28 @@ def test_reading_a_period_prunes_the_others(place):
     assert "ReadSchema: struct<Age:int>" in plan
 
 
+def test_periods_of_a_batch_prune_the_fact(spark, place):
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    path = f"{place.warehouse.root}/batch"
+    spark.createDataFrame([(2016, 1), (2016, 13)], "load_year int, load_month int").write.parquet(path)
+    periods = jobs.delivered_periods(spark.read.parquet(path))
+    frame = jobs.in_periods(place.warehouse.read(FACT_TABLE), sized(periods))
+    assert frame.count() == 9
+    assert "dynamicpruning" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_within_their_period(place):
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    config = MartConfig(numbers_within_period=True)
+    job = jobs.MartJob(place.job.spark, place.job.incoming, place.landed, place.warehouse, config)
+    place.deliver(2016, 2, [for_month(OTHER_PERIOD, 2016, 2, n) for n in (5, 13)])
+    assert jobs.advance(job) == (2016, 2, 2)
+    assert jobs.load_period(job, 2016, 2) == 0
+    assert place.fact_ids() == sorted([*KEPT_IDS, "5", "13"])
+
+
 def test_arriving_files(spark, place, tmp_path):
     place.deliver(2016, 1, ARRIVALS)
     place.bootstrap(2016, 1)

@@ -158,14 +158,23 @@ def airline_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nation_codebook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations of four regions as listed port codes, one region's marked as invalid."""
+    """Nations of four regions as port codes by name and as country codes by number.
+
+    One region's codes are marked as invalid.
+    """
     listed = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") != 4)
     label = F.when(F.col("n_regionkey") == 0, F.concat(F.lit("INVALID: "), "n_name")).otherwise(
         F.concat("n_name", F.lit(" PORT"))
     )
-    return listed.select(
+    ports = listed.select(
         F.lit("port").alias("domain"), F.col("n_name").alias("code"), label.alias("label")
-    ).withColumn("code_class", code_class(F.col("label")))
+    )
+    countries = listed.select(
+        F.lit("country").alias("domain"),
+        F.col("n_nationkey").cast("string").alias("code"),
+        label.alias("label"),
+    )
+    return ports.unionByName(countries).withColumn("code_class", code_class(F.col("label")))
 
 
 def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:

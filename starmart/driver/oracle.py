@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from starmart.driver.adapters import REPORT_YEAR
 from starmart.driver.queries import INCREMENT_PERIODS, PROFILED, SECOND_DELIVERY_YEAR
+from starmart.plans.marts import REPORT_ATTRIBUTES
 from starmart.schemas import KEPT_COLUMNS, RAW_ARRIVALS
 
 ARR = """
@@ -145,6 +146,15 @@ def _charts() -> str:
     return f"{WITH_FACT} {' UNION ALL '.join(parts)}"
 
 
+def _attributes() -> str:
+    parts = (
+        f"SELECT '{c}' AS attribute, CAST({c} AS VARCHAR) AS value, Year, Month, count(*) AS n "
+        f"FROM fact GROUP BY GROUPING SETS (({c}, Year, Month), ({c}, Year))"
+        for c in REPORT_ATTRIBUTES
+    )
+    return f"{WITH_FACT} {' UNION ALL '.join(parts)}"
+
+
 def _distinct_values() -> str:
     parts = (f"SELECT DISTINCT '{c}' AS field, {c} AS value FROM arr" for c in PROFILED)
     return f"{WITH_ARR} {' UNION ALL '.join(parts)}"
@@ -296,6 +306,20 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 2, 'visa_class', count(*) FROM flagged WHERE present AND class
         UNION ALL SELECT 3, 'gender_known', count(*) FROM flagged
                   WHERE present AND class AND known""",
+    "load_step_counts": f"""{WITH_ARR},
+        flagged AS (
+            SELECT cicid,
+                   visatype IS NOT NULL AND i94port IS NOT NULL AND i94yr IS NOT NULL
+                   AND i94mon IS NOT NULL AND admnum IS NOT NULL AS present,
+                   visatype IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AS class,
+                   i94port IN (SELECT airport_code FROM ({AIRPORTS})) AS home
+            FROM arr)
+        SELECT CAST(0 AS INTEGER) AS step_no, 'read' AS step, count(*) AS rows FROM flagged
+        UNION ALL SELECT 1, 'required_present', count(*) FROM flagged WHERE present
+        UNION ALL SELECT 2, 'visa_class', count(*) FROM flagged WHERE present AND class
+        UNION ALL SELECT 3, 'home_airport', count(*) FROM flagged WHERE present AND class AND home
+        UNION ALL SELECT 4, 'one_per_key', count(DISTINCT cicid) FROM flagged
+                  WHERE present AND class AND home""",
     "dim_airports_clean": CLEAN_AIRPORTS,
     "dim_airlines_clean": CLEAN_AIRLINES,
     "dim_insert_distinct": f"SELECT DISTINCT municipality FROM ({AIRPORT_SOURCE})",
@@ -361,6 +385,7 @@ ORACLE: dict[str, str] = {
     "rollup_year_month_city": _rollup(["Year", "Month", "Airport_Municipality"]),
     "flights_over_time": _rollup(["Flight_Number", "Year", "Month"]),
     "airlines_over_time": _rollup(["Airline_Code", "Year", "Month"]),
+    "attributes_over_time": _attributes(),
     "chart_points": _charts(),
     "sql_over_views": f"""{WITH_MART}
         SELECT a.airline_code, a.airline_name, count(*) AS n, avg(Age) AS avg_age
@@ -373,6 +398,13 @@ ORACLE: dict[str, str] = {
                CASE n_regionkey WHEN 4 THEN 'other' WHEN 0 THEN 'invalid' ELSE 'valid' END
                    AS code_class
         FROM arr JOIN nation ON i94port = n_name""",
+    "code_decode_number": """
+        SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS country,
+               CASE n_regionkey WHEN 4 THEN 'All Other Codes' WHEN 0 THEN 'INVALID: ' || n_name
+                                ELSE n_name || ' PORT' END AS label,
+               CASE n_regionkey WHEN 4 THEN 'other' WHEN 0 THEN 'invalid' ELSE 'valid' END
+                   AS code_class
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "frequency_table": f"""{WITH_ARR}
         SELECT airline, count(*) AS n FROM arr WHERE airline IS NOT NULL
         GROUP BY airline ORDER BY n DESC, airline""",

@@ -163,6 +163,13 @@ def step_counts(spark, sf_dir):
     return summaries.step_counts(ad.arrivals(spark, sf_dir), steps)
 
 
+@registered
+def load_step_counts(spark, sf_dir):
+    return fact_plan.load_step_counts(
+        ad.arrivals(spark, sf_dir), ad.home_airports(spark, sf_dir), ad.ORDERS_CONFIG
+    )
+
+
 # Dimensions.
 
 
@@ -312,6 +319,11 @@ def airlines_over_time(spark, sf_dir):
     return marts.over_time(_fact(spark, sf_dir), "Airline_Code")
 
 
+@registered
+def attributes_over_time(spark, sf_dir):
+    return marts.attributes_over_time(_fact(spark, sf_dir))
+
+
 @registered
 def chart_points(spark, sf_dir):
     return marts.chart_points(_fact(spark, sf_dir))
@@ -339,6 +351,14 @@ def code_decode_other(spark, sf_dir):
     return decode(rows, F.col("i94port"), ad.nation_codebook(spark, sf_dir), "port")
 
 
+@registered
+def code_decode_number(spark, sf_dir):
+    """Country codes arrive as doubles; the dictionary lists them as text."""
+    code = F.col("c_nationkey").cast("double")
+    rows = ad.table(spark, sf_dir, "customer").select("c_custkey", code.alias("country"))
+    return decode(rows, key_text(F.col("country")), ad.nation_codebook(spark, sf_dir), "country")
+
+
 # Profiles.
 
 

@@ -72,13 +72,21 @@ def rollup_counts(frame: DataFrame, *levels: str) -> DataFrame:
     )
 
 
-def step_counts(frame: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
-    """Rows left after each step in turn, all in one pass: ``(step_no, step, rows)``."""
+def step_counts(
+    frame: DataFrame, steps: Mapping[str, Column], key: str | None = None
+) -> DataFrame:
+    """Rows left after each step in turn, all in one pass: ``(step_no, step, rows)``.
+
+    With a ``key`` the last step is one row per key. Only rows that passed all others have
+    their key shuffled for it.
+    """
     passed = F.lit(True)
     measures = {"read": F.count(F.lit(1))}
     for name, condition in steps.items():
         passed = passed & condition
         measures[name] = F.count_if(passed)
+    if key:
+        measures["one_per_key"] = F.count_distinct(F.when(passed, F.col(key)))
     counted = frame.agg(*(m.alias(name) for name, m in measures.items()))
     rows = F.array(
         *(
@@ -89,3 +97,13 @@ def step_counts(frame: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
         )
     )
     return counted.select(F.inline(rows))
+
+
+def monthly_and_yearly(frame: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """Rows per attribute value by month and by year (``Month`` is null), in one scan."""
+    values = frame.select("Year", "Month", *(F.col(c).cast("string").alias(c) for c in attributes))
+    stacked = values.unpivot(["Year", "Month"], list(attributes), "attribute", "value")
+    by_month = count_by(stacked, "attribute", "value", "Year", "Month")
+    year = [F.col(c) for c in ("attribute", "value", "Year")]
+    month = F.col("Month")
+    return by_month.groupingSets([[*year, month], year], *year, month).agg(F.sum("n").alias("n"))

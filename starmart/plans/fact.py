@@ -19,6 +19,7 @@ from starmart.functions import (
 from starmart.operators.dedup import first_per_key
 from starmart.operators.filters import all_present, in_values
 from starmart.operators.lookup import look_up
+from starmart.operators.summaries import step_counts
 from starmart.schemas import FACT_COLUMNS, KEPT_COLUMNS
 
 LOAD_PERIOD = ("load_year", "load_month")
@@ -50,6 +51,17 @@ def clean_arrivals(arrivals: DataFrame, airports: DataFrame, config: MartConfig)
     return first_per_key(at_home, ["cicid"], SURVIVOR_ORDER)
 
 
+def load_step_counts(
+    arrivals: DataFrame, airports: DataFrame, config: MartConfig
+) -> DataFrame:
+    """Rows of a load after each of its steps, to follow where arrivals are left out."""
+    marked = look_up(
+        arrivals, "i94port", airports, "airport_code", {"airport_code": "_home"}, "left"
+    )
+    steps = {**cleaning_steps(config), "home_airport": F.col("_home").isNotNull()}
+    return step_counts(marked, steps, "cicid")
+
+
 def derive(cleaned: DataFrame, config: MartConfig) -> DataFrame:
     """Typed and derived columns, named as in the fact; others are kept behind them."""
     year, month = as_integer(F.col("i94yr")), as_integer(F.col("i94mon"))

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from starmart.functions import as_label, round_half_even
 from starmart.operators.lookup import look_up
-from starmart.operators.summaries import averages, count_by, rollup_counts, row_count
+from starmart.operators.summaries import (
+    averages,
+    count_by,
+    monthly_and_yearly,
+    rollup_counts,
+    row_count,
+)
 from starmart.schemas import TABLES
 
 
@@ -99,6 +105,11 @@ def over_time(fact: DataFrame, attribute: str) -> DataFrame:
     return rollup_counts(fact, attribute, "Year", "Month")
 
 
+def attributes_over_time(fact: DataFrame) -> DataFrame:
+    """Monthly and yearly rows per value of every reported attribute."""
+    return monthly_and_yearly(fact, REPORT_ATTRIBUTES)
+
+
 def rollup_by_time_and_city(fact: DataFrame) -> DataFrame:
     return rollup_counts(fact, "Year", "Month", "Airport_Municipality")
 

@@ -207,6 +207,28 @@ def test_step_counts(people):
     assert [(r.step, r.rows) for r in counted] == [("read", 6), ("id", 4), ("v", 2)]
 
 
+def test_step_counts_with_a_key(spark):
+    frame = spark.createDataFrame([(1, 2), (1, 3), (2, 0), (None, 4)], "k int, v int")
+    counted = summaries.step_counts(frame, {"v": F.col("v") > 0}, "k").orderBy("step_no")
+    assert [r.rows for r in counted.collect()] == [4, 3, 1]
+
+
+def test_monthly_and_yearly(spark):
+    frame = spark.createDataFrame([(2016, 1, "a"), (2016, 2, "a"), (2016, 2, None)], "Year int, Month int, c string")
+    assert rows(summaries.monthly_and_yearly(frame, ["c"])) == rows(
+        spark.createDataFrame(
+            [
+                ("c", "a", 2016, 1, 1),
+                ("c", "a", 2016, 2, 1),
+                ("c", "a", 2016, None, 2),
+                ("c", None, 2016, 2, 1),
+                ("c", None, 2016, None, 1),
+            ],
+            "attribute string, value string, Year int, Month int, n int",
+        )
+    )
+
+
 def test_profiles(spark, people):
     wide = people.withColumn("none", F.lit(None).cast("string"))
     assert rows(profile.null_profile(wide)) == [

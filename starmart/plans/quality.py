@@ -130,18 +130,24 @@ def key_checks(batch: DataFrame, key: str = "CICID") -> DataFrame:
 
 
 def dimension_checks(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
-    """Every dimension exists (is not None) and has rows; the two failures are told apart."""
-
-    def one(name: str, table: DataFrame | None) -> DataFrame:
-        if table is None:
-            return single_check(spark, f"{name}_exists", False, 0, "table")
-        rows = F.col("rows")
-        return _rows(
-            table.agg(F.count(F.lit(1)).alias("rows")),
-            [_check(f"{name}_has_rows", ERROR, rows > 0, rows, "> 0")],
-        )
+    """Every dimension exists (is not None) and has rows; the two failures are told apart.
 
-    return union([one(name, table) for name, table in tables.items()])
+    The rows of all dimensions are counted by one aggregate, to which each adds a zero.
+    """
+    found = {name: table for name, table in tables.items() if table is not None}
+    missing = [(f"{name}_exists", ERROR, False, 0, "table") for name in tables.keys() - found]
+    zeros = spark.createDataFrame([(name, 0) for name in found], "name string, one int")
+    ones = [t.select(F.lit(name).alias("name"), F.lit(1).alias("one")) for name, t in found.items()]
+    counted = union([zeros, *ones]).groupBy("name").agg(F.sum("one").alias("rows"))
+    rows = F.col("rows")
+    filled = counted.select(
+        F.concat("name", F.lit("_has_rows")).alias("check_name"),
+        F.lit(ERROR).alias("severity"),
+        (rows > 0).alias("passed"),
+        rows.alias("observed"),
+        F.lit("> 0").alias("expected"),
+    )
+    return filled.unionByName(spark.createDataFrame(missing, REPORT)) if missing else filled
 
 
 def fact_orphans(fact: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -165,7 +171,7 @@ def union(reports: Sequence[DataFrame]) -> DataFrame:
 def enforce(report: DataFrame) -> None:
     """Log failed warnings and raise on failed errors. A report has some twenty rows."""
     failed = {ERROR: [], WARNING: []}
-    for row in report.filter(~F.col("passed")).collect():
+    for row in report.filter(~F.col("passed")).orderBy("check_name").collect():
         failed[row.severity].append(f"{row.check_name}: {row.observed}, expected {row.expected}")
     for text in failed[WARNING]:
         LOG.warning(text)

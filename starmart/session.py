@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+LOCAL_MASTER = re.compile(r"local(\[[^\]]*\])?")
 SHUFFLE_INPUT_BYTES = 256 * 1024 * 1024
 MOST_SHUFFLE_PARTITIONS = 40_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -33,10 +35,13 @@ def local_session(app: str, cores: str = "*", memory: str = "8g") -> SparkSessio
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """New folder name for an intermediate table, under the cluster's shared checkpoint folder.
 
-    A folder of our own is set only where the session names none (tests, local runs).
+    Where the session names none, a folder of our own is set if everything runs in this one process
+    (tests, local runs); on a cluster that would be a different folder on each machine, so it fails.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not LOCAL_MASTER.fullmatch(spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="starmart-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

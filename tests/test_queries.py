@@ -4,6 +4,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_module
+from starmart.driver.oracle import ORACLE
+from starmart.driver.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,10 +14,10 @@ def tables(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, tables, name):
     frame = entry_module.queries()[name](spark, sf_dir)
     assert differences(frame, tables, entry_module.oracle_sql()[name]) == []

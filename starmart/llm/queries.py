@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+import math
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import pii, quality
-from starmart.llm.common import table
+from starmart.llm import bpe, lz, pii, quality
+from starmart.llm.common import shuffle_partitions, table
+from starmart.sources import paths
+
+RANGE_BYTES = 128 * 1024 * 1024
+
+
+def _ranges(spark: SparkSession, path: str) -> int:
+    """As many parts as the session asks for, more where they would grow too large."""
+    return max(shuffle_partitions(spark), math.ceil(paths.size_of(spark, path) / RANGE_BYTES))
+
+
+def op1_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lz.compared(docs, ranges=_ranges(spark, f"{sf_dir}/documents.parquet"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +39,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trips(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(f"{k}_spans").cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
@@ -35,6 +56,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lz_fingerprint": op1_lz_fingerprint,
     "op5_quality_rules": op5_quality_rules,
+    "op6_byte_bpe": op6_byte_bpe,
     "op10_pii": op10_pii,
 }

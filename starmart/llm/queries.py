@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import bpe, lz, pii, quality
+from starmart.llm import bpe, langid, lz, pii, quality
 from starmart.llm.common import shuffle_partitions, table
 from starmart.sources import paths
 
@@ -44,6 +44,14 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    automata = langid.learn(langid.sample(docs))
+    return langid.identify(docs.select("doc_id", "text"), automata).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(f"{k}_spans").cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
@@ -59,5 +67,6 @@ QUERIES = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_language": op9_language,
     "op10_pii": op10_pii,
 }

@@ -1,5 +1,29 @@
-"""SQL of the registered text queries where SQL can express them."""
+"""SQL of the registered text queries where SQL can express them on whole tables in fair time."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+OP4 = r"""
+WITH parts AS (
+    SELECT page_id, url,
+        CASE WHEN instr(url, '://') > 0
+            THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^?#]*') END AS rest
+    FROM pages
+), split AS (
+    SELECT page_id, url,
+        coalesce(translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1), '') AS path
+    FROM parts
+), rules(verdict, rule) AS (
+    VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'), ('allow', 'com/fr/'), ('block', 'com/de/')
+), cut AS (
+    SELECT verdict, rule, substr(rule, 1, instr(rule, '/') - 1) AS own, substr(rule, instr(rule, '/')) AS start FROM rules
+)
+SELECT page_id, host, path,
+    (SELECT arg_max(rule, length(rule)) FROM cut WHERE (host = own OR ends_with(host, '.' || own)) AND starts_with(path, start)) AS rule,
+    coalesce((SELECT arg_max(verdict, length(rule)) FROM cut WHERE (host = own OR ends_with(host, '.' || own)) AND starts_with(path, start)), 'allow') AS verdict
+FROM split
+"""
+
+ORACLE: dict[str, str] = {"op4_url_filter": OP4}

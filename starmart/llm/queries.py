@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import bpe, langid, lz, pii, quality
+from starmart.llm import bpe, htmltext, langid, lz, pii, quality, urlfilter
 from starmart.llm.common import shuffle_partitions, table
 from starmart.sources import paths
 
@@ -39,11 +39,31 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rules = urlfilter.rules_frame(spark, URL_RULES)
+    return urlfilter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trips(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     automata = langid.learn(langid.sample(docs))
@@ -65,8 +85,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
+    "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_html_text": op7_html_text,
     "op9_language": op9_language,
     "op10_pii": op10_pii,
 }

@@ -45,11 +45,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+# Spark drops the shuffle files of a finished statement when this is on.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read back: computed once, and safe from lost executors."""
-    path = scratch_path(frame.sparkSession, purpose)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    spark = frame.sparkSession
+    path = scratch_path(spark, purpose)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

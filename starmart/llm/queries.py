@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import bpe, htmltext, langid, lz, pii, quality, urlfilter
+from starmart.llm import bpe, htmltext, langid, lz, near, pii, quality, urlfilter
 from starmart.llm.common import shuffle_partitions, table
 from starmart.sources import paths
 
@@ -39,6 +39,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 URL_RULES = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -85,6 +90,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
+    "op2_ngram_join": op2_ngram_join,
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,

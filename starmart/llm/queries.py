@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import bpe, htmltext, langid, lz, near, pii, quality, urlfilter
+from starmart.llm import bpe, htmltext, langid, lz, mixing, near, pii, quality, urlfilter
 from starmart.llm.common import shuffle_partitions, table
 from starmart.sources import paths
 
@@ -44,6 +44,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 URL_RULES = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -91,6 +96,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
     "op2_ngram_join": op2_ngram_join,
+    "op3_mixing": op3_mixing,
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,

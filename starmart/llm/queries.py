@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import bpe, htmltext, langid, lz, mixing, near, pii, quality, urlfilter
+from starmart.llm import bpe, chat, htmltext, langid, lz, mixing, near, pii, quality, urlfilter
 from starmart.llm.common import shuffle_partitions, table
 from starmart.sources import paths
 
@@ -74,6 +74,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op8_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repaired(table(spark, sf_dir, "conversations"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     automata = langid.learn(langid.sample(docs))
@@ -101,6 +105,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_html_text": op7_html_text,
+    "op8_chat_repair": op8_chat_repair,
     "op9_language": op9_language,
     "op10_pii": op10_pii,
 }

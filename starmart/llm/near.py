@@ -379,18 +379,35 @@ def node_components(docs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs`` (doc_id, text)."""
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs`` (doc_id, text).
+
+    ``mark`` (a hash of the text) and ``component`` (a node, null without shingles) come with it.
+    """
     docs = docs.select("doc_id", "text")
     sets = stored(doc_sets(docs), "doc-sets")
     groups = node_components(docs, sets)
     nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rooted = stored(rooted, "rooted")
     ids = stored(rooted.groupBy("component").agg(F.min("least").alias("component_id")), "ids")
-    by_node = stored(rooted.join(ids, "component").select("node", "component_id"), "node-ids")
+    by_node = stored(rooted.join(ids, "component").select("node", "component", "component_id"), "node-ids")
+    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return sets.join(by_node, "node", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        "node",
-        "mark",
+        "doc_id", "n_shingles", own.alias("component_id"), "mark", "component"
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest id.
+
+    Documents without shingles stay; rows with the same doc_id and text count as one.
+    """
+    found = near_duplicates(docs)
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "mark")
+    picked = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(rank).alias("of")).select("of.*")
+    alone = found.filter("component IS NULL").select("doc_id", "mark")
+    kept = stored(picked.select("doc_id", "mark").union(alone).distinct(), "kept")
+    mark = F.xxhash64(docs["text"])
+    same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & (mark == kept["mark"])
+    rows = docs.withColumn("_mark", mark).join(kept, same, "left_semi")
+    return rows.dropDuplicates(["doc_id", "_mark"]).drop("_mark")

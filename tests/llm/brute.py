@@ -62,3 +62,42 @@ def base_spans(text):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def shingle_set(text):
+    lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = WORD.findall(lower)
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def near_components(docs):
+    """Sorted (doc_id, set size, smallest id of the component) of (doc_id, text) rows."""
+    sets = [shingle_set(text) for _, text in docs]
+    having = {}
+    for k, s in enumerate(sets):
+        for gram in s:
+            having.setdefault(gram, []).append(k)
+    common = {}
+    for rows in having.values():
+        for i, a in enumerate(rows):
+            for b in rows[i + 1 :]:
+                common[a, b] = common.get((a, b), 0) + 1
+    parent = list(range(len(docs)))
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for (a, b), n in common.items():
+        if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
+            parent[root(a)] = root(b)
+    least = {}
+    for k, (doc_id, _) in enumerate(docs):
+        if doc_id is not None:
+            least[root(k)] = min(doc_id, least.get(root(k), doc_id))
+    rows = ((doc_id, len(sets[k]), least.get(root(k))) for k, (doc_id, _) in enumerate(docs))
+    return sorted(rows, key=str)

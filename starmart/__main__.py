@@ -21,16 +21,18 @@ def main(argv: list[str] | None = None) -> None:
     first.add_argument("--airlines", required=True, help="JSON file of airlines")
     first.add_argument("--year", type=int, required=True)
     first.add_argument("--month", type=int, required=True)
-    commands.add_parser("advance", help="load the period after the latest one")
+    following = commands.add_parser("advance", help="load the period after the latest one")
+    for command in (first, following):
+        command.add_argument("--force", action="store_true", help="land the raw file again")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("starmart").getOrCreate()
     job = MartJob(spark, args.incoming, args.landed, Warehouse(spark, args.warehouse))
     if args.command == "bootstrap":
         year, month = args.year, args.month
-        added = bootstrap(job, args.airports, args.airlines, year, month)
+        added = bootstrap(job, args.airports, args.airlines, year, month, args.force)
     else:
-        year, month, added = advance(job)
+        year, month, added = advance(job, args.force)
     print(f"{month}_{year}: {added} new rows")
 
 

@@ -23,6 +23,3 @@ class MartConfig:
     unknown_gender: str = UNKNOWN_GENDER
     unknown_airline: str = UNKNOWN_AIRLINE
     required_fields: tuple[str, ...] = REQUIRED_FIELDS
-    # Set where arrival numbers are known not to recur in other periods: a load then looks for
-    # known numbers in the partitions of its periods only.
-    numbers_within_period: bool = False

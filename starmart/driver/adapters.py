@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +24,8 @@ ORDERS_CONFIG = MartConfig(
 REPORT_YEAR = 1996
 
 
-@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, opened once per session."""
+    """A given table."""
     path = f"{sf_dir}/{name}.parquet"
     size_shuffles(spark, paths.size_of(spark, path))
     return spark.read.parquet(path)
@@ -77,6 +74,36 @@ def arrivals(spark: SparkSession, sf_dir: str, ports: DataFrame | None = None) -
     return joined.select(*(raw[name].alias(name) for name in KEPT_COLUMNS))
 
 
+def line_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of orders as arrivals: the order is the number, which so repeats; some have none.
+
+    The supplier's nation is the port; every sixth line number has neither day nor birth year.
+    """
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    supplier = (
+        table(spark, sf_dir, "supplier")
+        .select("s_suppkey", "s_nationkey")
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    )
+    day = F.col("l_shipdate").cast("date")
+    known = F.col("l_linenumber") != 6
+    raw = {
+        "cicid": F.when(F.col("l_linenumber") != 7, F.col("l_orderkey").cast("double")),
+        "i94yr": F.year(day).cast("double"),
+        "i94mon": F.month(day).cast("double"),
+        "i94port": F.col("n_name"),
+        "arrdate": F.when(known, F.datediff(day, F.lit(SAS_EPOCH).cast("date")).cast("double")),
+        "biryear": F.when(known, (F.year(day) - F.col("l_partkey") % 90).cast("double")),
+        "gender": F.nullif(F.col("l_returnflag"), F.lit("N")),
+        "airline": F.col("l_linestatus"),
+        "admnum": F.col("l_partkey").cast("string"),
+        "fltno": F.col("l_suppkey").cast("string"),
+        "visatype": F.when(F.col("l_linenumber") % 2 == 1, "1-URGENT").otherwise("2-HIGH"),
+    }
+    joined = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return joined.select(*(raw[name].alias(name) for name in KEPT_COLUMNS))
+
+
 def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals with all columns of the raw file; those the fact does not use are empty."""
     rows = arrivals(spark, sf_dir)

@@ -36,8 +36,28 @@ AIRLINES = """
     FROM customer WHERE c_mktsegment <> 'MACHINERY'
 """
 
-FACT = f"""
-    WITH arr AS ({ARR}),
+LINES = """
+    SELECT CASE WHEN l_linenumber <> 7 THEN CAST(l_orderkey AS DOUBLE) END AS cicid,
+           CAST(year(l_shipdate) AS DOUBLE) AS i94yr,
+           CAST(month(l_shipdate) AS DOUBLE) AS i94mon,
+           n_name AS i94port,
+           CASE WHEN l_linenumber <> 6
+               THEN CAST(CAST(l_shipdate AS DATE) - DATE '1960-01-01' AS DOUBLE) END AS arrdate,
+           CASE WHEN l_linenumber <> 6 THEN CAST(year(l_shipdate) - l_partkey % 90 AS DOUBLE) END AS biryear,
+           nullif(l_returnflag, 'N') AS gender,
+           l_linestatus AS airline,
+           CAST(l_partkey AS VARCHAR) AS admnum,
+           CAST(l_suppkey AS VARCHAR) AS fltno,
+           CASE WHEN l_linenumber % 2 = 1 THEN '1-URGENT' ELSE '2-HIGH' END AS visatype
+    FROM lineitem
+    JOIN supplier ON l_suppkey = s_suppkey
+    JOIN nation ON s_nationkey = n_nationkey
+"""
+
+
+def _fact(arrivals: str) -> str:
+    return f"""
+    WITH arr AS ({arrivals}),
     airports AS ({AIRPORTS}),
     kept AS (
         SELECT arr.*, row_number() OVER (
@@ -69,6 +89,8 @@ FACT = f"""
     FROM typed JOIN airports ON i94port = airport_code
 """
 
+
+FACT = _fact(ARR)
 WITH_ARR = f"WITH arr AS ({ARR})"
 WITH_FACT = f"WITH fact AS ({FACT})"
 WITH_MART = f"WITH fact AS ({FACT}), airports AS ({AIRPORTS}), airlines AS ({AIRLINES})"
@@ -209,6 +231,7 @@ def _dq_report() -> str:
     checks = [
         _check("source_has_rows", "error", "count(*) > 0", "count(*)", "> 0") + " FROM arr",
         _check("arrival_number_present", "warning", f"{keyless} = 0", keyless, "0"),
+        _check("corrupt_rows", "warning", "true", "0", "0"),
         _check("batch_not_empty", "error", "count(*) > 0", "count(*)", "> 0") + " FROM fact",
         _check("no_empty_column", "error", f"({empty}) = 0", empty, "0") + " FROM fact",
         _check("fact_column_count", "error", "14 = 14", "14", "14"),
@@ -428,8 +451,29 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'visatypes', * FROM (VALUES ('E1'), ('E2'), ('E3'))
         UNION ALL SELECT 'genders', * FROM (VALUES ('M'), ('F'), ('X'), ('U'))
         UNION ALL SELECT 'agegroups', * FROM (VALUES ('1'), ('2'), ('3'), ('4'), ('5'))""",
-    "monthly_increment": f"""{WITH_FACT}
-        SELECT * FROM fact WHERE {_periods()}""",
+    "monthly_increment": FACT,
+    "refused_load": f"""{WITH_FACT}
+        SELECT 'refused' AS step, 'period_matches' AS failed, count(*) AS fact_rows,
+               count(DISTINCT Monthly_Time) AS registered
+        FROM fact WHERE Year <= {INCREMENT_PERIODS[0][0]}
+        UNION ALL SELECT 'forced', 'none', count(*), count(DISTINCT Monthly_Time)
+        FROM fact WHERE Year <= {INCREMENT_PERIODS[0][0]} OR {_periods()}""",
+    "arriving_periods": f"{WITH_FACT} SELECT * FROM fact WHERE {_periods()}",
+    "bootstrap_from_files": f"""{WITH_MART}
+        SELECT 'airports' AS stored_in, airport_code AS key FROM airports
+        UNION ALL SELECT 'airlines', airline_code FROM airlines
+        UNION ALL SELECT 'immigrationfacts', CICID FROM fact
+        WHERE Year = {INCREMENT_PERIODS[0][0]} AND Month = {INCREMENT_PERIODS[0][1]}""",
+    "fact_from_lineitem": _fact(LINES),
+    "keyless_lines": f"WITH arr AS ({LINES}) "
+    + " UNION ALL ".join(
+        [
+            _check("source_has_rows", "error", "count(*) > 0", "count(*)", "> 0") + " FROM arr",
+            _check("arrival_number_present", "warning", "count(*) = 0", "count(*)", "0")
+            + " FROM arr WHERE cicid IS NULL",
+            _check("corrupt_rows", "warning", "true", "0", "0"),
+        ]
+    ),
     # The first delivery is a part of the second, so the fact holds every arrival once.
     "warehouse_loaded_fact": f"""{WITH_FACT}
         SELECT * FROM fact WHERE Year < {SECOND_DELIVERY_YEAR}

@@ -37,6 +37,7 @@ from starmart.sources import landing
 from starmart.sources.dimension_files import read_airports
 from starmart.sources.raw import kept, raw_file_name, read_raw
 from starmart.sources.warehouse import Warehouse
+from starmart.streaming.arrivals import load_arriving
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -408,8 +409,7 @@ def dq_report(spark, sf_dir):
     return quality.union(
         [
             quality.source_checks(rows, qualifies),
-            quality.batch_checks(batch),
-            quality.key_checks(batch),
+            quality.batch_and_key_checks(batch),
         ]
     )
 
@@ -497,27 +497,118 @@ def _prepared_mart(spark: SparkSession, sf_dir: str) -> jobs.MartJob:
     return job
 
 
+def _with_load_period(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
+        {"load_year": as_integer(F.col("i94yr")), "load_month": as_integer(F.col("i94mon"))}
+    )
+
+
+def _deliver(job: jobs.MartJob, rows: DataFrame, year: int, month: int) -> None:
+    """Write the raw file of a period, as a folder of parts."""
+    target = f"{job.incoming}/{raw_file_name(year, month)}"
+    rows.write.mode("overwrite").option("header", True).csv(target)
+
+
+def _of_period(rows: DataFrame, year: int, month: int) -> DataFrame:
+    return rows.filter(filters.in_period("i94yr", "i94mon", F.lit(year), F.lit(month)))
+
+
 @registered
 def monthly_increment(spark, sf_dir):
-    """Deliver a December and the January after it as raw CSV; load one, advance to the other."""
+    """Load all months but the last with fact rows, deliver that as raw CSV and advance to it."""
     job = _prepared_mart(spark, sf_dir)
-    rows = ad.raw_arrivals(spark, sf_dir)
-    for year, month in INCREMENT_PERIODS:
-        delivery = rows.filter(filters.in_period("i94yr", "i94mon", F.lit(year), F.lit(month)))
-        target = f"{job.incoming}/{raw_file_name(year, month)}"
-        delivery.write.option("header", True).csv(target)
-    jobs.load_period(job, *INCREMENT_PERIODS[0])
+    year, month = F.col("Year").alias("year"), F.col("Month").alias("month_num")
+    last = summaries.latest_period(_fact(spark, sf_dir).select(year, month), "year", "month_num").first()
+    last_month = filters.in_period("i94yr", "i94mon", F.lit(last["year"]), F.lit(last["month_num"]))
+    earlier = ad.arrivals(spark, sf_dir).filter(~last_month)
+    jobs.load_batch(job.warehouse, _with_load_period(earlier), job.config)
+    _deliver(job, ad.raw_arrivals(spark, sf_dir).filter(last_month), last["year"], last["month_num"])
     jobs.advance(job)
     return job.warehouse.read(FACT_TABLE)
 
 
+@registered
+def refused_load(spark, sf_dir):
+    """A month delivered with rows of the next one is refused; the corrected file then loads."""
+    job = _prepared_mart(spark, sf_dir)
+    (year, month), following = INCREMENT_PERIODS
+    first = ad.arrivals(spark, sf_dir).filter(F.col("i94yr") <= year)
+    jobs.load_batch(job.warehouse, _with_load_period(first), job.config)
+    raw = ad.raw_arrivals(spark, sf_dir)
+
+    def state(step: str, failed: str) -> DataFrame:
+        fact, register = job.warehouse.read(FACT_TABLE), job.warehouse.read("monthlytimes")
+        return fact.agg(F.count(F.lit(1)).alias("fact_rows")).crossJoin(
+            register.agg(F.count(F.lit(1)).alias("registered"))
+        ).select(F.lit(step).alias("step"), F.lit(failed).alias("failed"), "fact_rows", "registered")
+
+    _deliver(job, raw.filter(F.col("i94yr") == following[0]), *following)
+    try:
+        jobs.advance(job)
+        failed = "none"
+    except quality.QualityError as error:
+        failed = str(error).split(":")[0]
+    refused = [row.asDict() for row in state("refused", failed).collect()][0]
+    _deliver(job, _of_period(raw, *following), *following)
+    jobs.advance(job, force=True)
+    before = quality.literal_rows(spark, [{k: F.lit(v) for k, v in refused.items()}])
+    columns = ["step", "failed", F.col("fact_rows").cast("long"), F.col("registered").cast("long")]
+    return before.select(*columns).union(state("forced", "none"))
+
+
+@registered
+def arriving_periods(spark, sf_dir):
+    """Two months that arrive one after the other, each loaded by a run over new files only."""
+    job = _prepared_mart(spark, sf_dir)
+    raw = ad.raw_arrivals(spark, sf_dir)
+    checkpoint = job.warehouse.scratch("arrivals")
+    for period in INCREMENT_PERIODS:
+        _deliver(job, _of_period(raw, *period), *period)
+        run = load_arriving(spark, job.incoming, checkpoint, job.warehouse, job.config)
+        run.awaitTermination()
+        if run.exception():
+            raise run.exception()
+    return job.warehouse.read(FACT_TABLE)
+
+
+@registered
+def bootstrap_from_files(spark, sf_dir):
+    """A first run from an airport CSV, airlines as JSON Lines and the raw file of a month."""
+    root = scratch_path(spark, "bootstrap")
+    job = jobs.MartJob(
+        spark, f"{root}/incoming", f"{root}/landed", Warehouse(spark, f"{root}/warehouse"), ad.ORDERS_CONFIG
+    )
+    period = INCREMENT_PERIODS[0]
+    _deliver(job, _of_period(ad.raw_arrivals(spark, sf_dir), *period), *period)
+    ad.port_source(spark, sf_dir).write.option("header", True).csv(f"{root}/airports.csv")
+    ad.carrier_source(spark, sf_dir).write.json(f"{root}/airlines.json")
+    jobs.bootstrap(job, f"{root}/airports.csv", f"{root}/airlines.json", *period)
+    keys = [
+        job.warehouse.read(name).select(F.lit(name).alias("stored_in"), F.col(key_of(name)).alias("key"))
+        for name in ("airports", "airlines", FACT_TABLE)
+    ]
+    return reduce(DataFrame.unionByName, keys)
+
+
+@registered
+def fact_from_lineitem(spark, sf_dir):
+    """Fact rows of arrivals whose number repeats or is missing, some of unknown day and age."""
+    arrivals = ad.line_arrivals(spark, sf_dir)
+    return fact_plan.fact_rows(arrivals, ad.home_airports(spark, sf_dir), ad.ORDERS_CONFIG)
+
+
+@registered
+def keyless_lines(spark, sf_dir):
+    """The source checks of those arrivals: rows without a number are left out and counted."""
+    qualifies = filters.in_values("visatype", ad.ORDERS_CONFIG.visa_classes)
+    return quality.source_checks(ad.line_arrivals(spark, sf_dir), qualifies)
+
+
 @registered
 def warehouse_loaded_fact(spark, sf_dir):
     """Load the arrivals before a year into a new warehouse, then deliver all of them again."""
     job = _prepared_mart(spark, sf_dir)
-    delivered = ad.arrivals(spark, sf_dir).withColumns(
-        {"load_year": as_integer(F.col("i94yr")), "load_month": as_integer(F.col("i94mon"))}
-    )
+    delivered = _with_load_period(ad.arrivals(spark, sf_dir))
     earlier = delivered.filter(F.col("load_year") < SECOND_DELIVERY_YEAR)
     jobs.load_batch(job.warehouse, earlier, job.config)
     jobs.load_batch(job.warehouse, delivered, job.config)

@@ -27,7 +27,3 @@ def shape(frame: DataFrame) -> DataFrame:
     return frame.agg(
         F.count(F.lit(1)).alias("rows"), F.lit(len(frame.columns)).cast("int").alias("columns")
     )
-
-
-def is_empty(frame: DataFrame) -> bool:
-    return frame.isEmpty()

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,11 +101,21 @@ def step_counts(
     return counted.select(F.inline(rows))
 
 
-def monthly_and_yearly(frame: DataFrame, attributes: Sequence[str]) -> DataFrame:
-    """Rows per attribute value by month and by year (``Month`` is null), in one scan."""
-    values = frame.select("Year", "Month", *(F.col(c).cast("string").alias(c) for c in attributes))
-    stacked = values.unpivot(["Year", "Month"], list(attributes), "attribute", "value")
-    by_month = count_by(stacked, "attribute", "value", "Year", "Month")
+def monthly_and_yearly(
+    frame: DataFrame, attributes: Sequence[str], alone: Sequence[str] = ()
+) -> DataFrame:
+    """Rows per attribute value by month and by year (``Month`` is null).
+
+    Combinations of the attributes are counted first, so groups rather than rows are multiplied.
+    ``alone`` names attributes with many values, each of which is counted by itself.
+    """
+    together = [c for c in attributes if c not in alone]
+    counted = []
+    for group in ([together] if together else []) + [[c] for c in attributes if c in alone]:
+        groups = count_by(frame, "Year", "Month", *group)
+        values = groups.select("Year", "Month", "n", *(F.col(c).cast("string").alias(c) for c in group))
+        counted.append(values.unpivot(["Year", "Month", "n"], group, "attribute", "value"))
+    by_month = reduce(DataFrame.unionByName, counted)
     year = [F.col(c) for c in ("attribute", "value", "Year")]
     month = F.col("Month")
     return by_month.groupingSets([[*year, month], year], *year, month).agg(F.sum("n").alias("n"))

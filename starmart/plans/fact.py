@@ -40,15 +40,16 @@ def clean_arrivals(arrivals: DataFrame, airports: DataFrame, config: MartConfig)
     """Qualifying arrivals at home airports with the municipality, one row per arrival number.
 
     Predicates and the airport join come first, so only rows that stay are shuffled to find
-    duplicates. A missing arrival number cannot be a key, so such rows are left out.
+    duplicates. The key is the number as the fact stores it, so numbers that are stored alike are
+    one; a number that gives no key cannot be one, so such rows are left out.
     """
     rows = arrivals
     for condition in cleaning_steps(config).values():
         rows = rows.filter(condition)
-    rows = rows.filter(F.col("cicid").isNotNull())
+    rows = rows.withColumn("_stored_key", key_text(F.col("cicid"))).filter(F.col("_stored_key").isNotNull())
     city = {"municipality": "Airport_Municipality"}
     at_home = look_up(rows, "i94port", airports, "airport_code", city)
-    return first_per_key(at_home, ["cicid"], SURVIVOR_ORDER)
+    return first_per_key(at_home, ["_stored_key"], SURVIVOR_ORDER).drop("_stored_key")
 
 
 def load_step_counts(
@@ -56,10 +57,10 @@ def load_step_counts(
 ) -> DataFrame:
     """Rows of a load after each of its steps, to follow where arrivals are left out."""
     marked = look_up(
-        arrivals, "i94port", airports, "airport_code", {"airport_code": "_home"}, "left"
+        arrivals.withColumn("_stored_key", key_text(F.col("cicid"))), "i94port", airports, "airport_code", {"airport_code": "_home"}, "left"
     )
     steps = {**cleaning_steps(config), "home_airport": F.col("_home").isNotNull()}
-    return step_counts(marked, steps, "cicid")
+    return step_counts(marked, steps, "_stored_key")
 
 
 def derive(cleaned: DataFrame, config: MartConfig) -> DataFrame:

@@ -8,8 +8,9 @@ the append leaves out keys that are already there.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.config import MartConfig
@@ -23,7 +24,6 @@ from starmart.operators.dimensions import (
     seed,
 )
 from starmart.operators.insert import absent_rows, keys_met
-from starmart.operators.lookup import sized
 from starmart.operators.summaries import latest_period
 from starmart.plans import quality
 from starmart.plans.fact import LOAD_PERIOD, cleaning_steps, fact_rows
@@ -32,13 +32,14 @@ from starmart.schemas import (
     FACT_COLUMNS,
     FACT_PARTITIONS,
     FACT_TABLE,
+    KEPT_COLUMNS,
     PERIOD_DIMENSIONS,
     key_of,
 )
-from starmart.session import scratch_path, size_shuffles
+from starmart.session import size_shuffles
 from starmart.sources import landing, paths
 from starmart.sources.dimension_files import read_airlines, read_airports
-from starmart.sources.raw import kept
+from starmart.sources.raw import CORRUPT
 from starmart.sources.warehouse import Warehouse
 
 
@@ -94,63 +95,122 @@ def _pending_dimensions(
     return tables
 
 
-def delivered_periods(batch: DataFrame) -> DataFrame:
-    """Distinct ``(year, month_num)`` a batch was delivered for."""
-    year, month = F.col("load_year").alias("year"), F.col("load_month").alias("month_num")
-    return batch.filter(F.col("load_month").between(1, 12)).select(year, month).distinct()
+Period = tuple[int, int]
 
 
-def in_periods(fact: DataFrame, periods: DataFrame) -> DataFrame:
-    """Fact rows of the periods. The periods prune the partitions, so others are not opened."""
-    return fact.join(periods.toDF(*FACT_PARTITIONS), list(FACT_PARTITIONS), "left_semi")
+def _observed_periods() -> Column:
+    """The load periods of the rows that pass by; there are as many as months."""
+    return F.collect_set(F.struct(*LOAD_PERIOD))
+
+
+def _calendar_periods(periods: set[tuple]) -> set[Period]:
+    return {(y, m) for y, m in periods if y is not None and m is not None and 1 <= m <= 12}
+
+
+def _periods_frame(spark: SparkSession, periods: set[Period]) -> DataFrame:
+    rows = [{"year": F.lit(y), "month_num": F.lit(m)} for y, m in sorted(periods)]
+    frame = quality.literal_rows(spark, rows or [{"year": F.lit(0), "month_num": F.lit(0)}])
+    return frame if rows else frame.limit(0)
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A batch written below the warehouse, and what was counted on the way."""
+
+    rows: DataFrame
+    report: DataFrame
+    periods: set[Period]
+
+
+def _stage(
+    warehouse: Warehouse, arrivals: DataFrame, config: MartConfig, staging: str
+) -> Staged:
+    """Write the fact rows of a batch; all counts of source and batch come from this one pass."""
+    spark = warehouse.spark
+    qualifies = F.lit(True)
+    for condition in cleaning_steps(config).values():
+        qualifies = qualifies & condition
+    corrupt = F.col(CORRUPT) if CORRUPT in arrivals.columns else None
+    of_source = quality.source_metrics(qualifies, corrupt)
+    of_batch = quality.batch_metrics(*LOAD_PERIOD)
+
+    def watched(frame: DataFrame, seen: Observation, metrics: dict[str, Column]) -> DataFrame:
+        counts = [m.alias(name) for name, m in metrics.items()]
+        return frame.observe(seen, *counts, _observed_periods().alias("periods"))
+
+    source_seen, batch_seen = Observation("source"), Observation("batch")
+    source = watched(arrivals, source_seen, of_source).drop(CORRUPT)
+    rows = fact_rows(source, warehouse.read("airports"), config)
+    watched(rows, batch_seen, of_batch).write.mode("overwrite").parquet(staging)
+    source_counts, batch_counts = source_seen.get, batch_seen.get
+    delivered, loaded = ({tuple(p) for p in c.get("periods") or []} for c in (source_counts, batch_counts))
+    report = quality.union(
+        [
+            quality.source_report(quality.measured(spark, source_counts, list(of_source))),
+            quality.period_check(spark, delivered, loaded),
+            quality.batch_report(
+                quality.measured(spark, batch_counts, list(of_batch)),
+                len([c for c in rows.columns if c not in LOAD_PERIOD]),
+            ),
+        ]
+    )
+    batch = spark.read.schema(rows.schema).parquet(staging)
+    return Staged(batch, report, _calendar_periods(loaded))
+
+
+def _rows_by_period(warehouse: Warehouse, periods: set[Period]) -> dict[Period, int]:
+    """Fact rows of some periods; no column is read, and no folder of another period."""
+    if not periods:
+        return {}
+    year, month = FACT_PARTITIONS
+    wanted = reduce(
+        lambda a, b: a | b, ((F.col(year) == y) & (F.col(month) == m) for y, m in sorted(periods))
+    )
+    counted = warehouse.read(FACT_TABLE).filter(wanted).groupBy(year, month).count()
+    return {(row[year], row[month]): row["count"] for row in counted.collect()}
+
+
+def _append_new(warehouse: Warehouse, staged: Staged) -> dict[Period, int]:
+    """Append the rows whose key is new; returns how many came to each period of the batch."""
+    key = key_of(FACT_TABLE)
+    rows = staged.rows.select(*FACT_COLUMNS)
+    before = _rows_by_period(warehouse, {p for p in staged.periods if warehouse.has_period(*p)})
+    known = keys_met(warehouse.read(FACT_TABLE), rows, key)
+    warehouse.append(FACT_TABLE, absent_rows(rows, known, key, unique=True))
+    after = _rows_by_period(warehouse, {p for p in staged.periods if warehouse.has_period(*p)})
+    return {p: after.get(p, 0) - before.get(p, 0) for p in staged.periods}
 
 
 def load_batch(warehouse: Warehouse, arrivals: DataFrame, config: MartConfig) -> int:
     """Check and append one batch of raw arrivals; returns the number of new fact rows.
 
     ``arrivals`` has the raw columns used by the fact, and ``load_year`` and ``load_month`` with
-    the period each row was delivered for. A batch may cover many periods.
+    the period each row was delivered for; a column with the text of corrupt rows is counted. A
+    batch may cover many periods. It is staged below the warehouse, read once.
     """
     spark = warehouse.spark
     if not warehouse.exists(FACT_TABLE):
         quality.enforce(quality.single_check(spark, "fact_exists", False, 0, "table"))
-    airports = warehouse.read("airports")
-
-    staging = scratch_path(spark, "staged-facts")
-    fact_rows(arrivals, airports, config).write.mode("overwrite").parquet(staging)
+    staging = warehouse.scratch("staged-facts")
     try:
-        batch = spark.read.parquet(staging)
-        delivered = sized(delivered_periods(batch))
-        periods = period_rows(delivered)
-
-        qualifies = F.lit(True)
-        for condition in cleaning_steps(config).values():
-            qualifies = qualifies & condition
+        staged = _stage(warehouse, arrivals, config, staging)
+        periods = period_rows(_periods_frame(spark, staged.periods))
         quality.enforce(
             quality.union(
                 [
-                    quality.source_checks(arrivals, qualifies),
-                    quality.period_checks(arrivals, batch, *LOAD_PERIOD),
-                    quality.batch_checks(batch, *LOAD_PERIOD),
-                    quality.key_checks(batch),
+                    staged.report,
+                    quality.key_checks(staged.rows),
                     quality.dimension_checks(spark, _pending_dimensions(warehouse, periods)),
                 ]
             )
         )
-
-        history = warehouse.read(FACT_TABLE)
-        touched = in_periods(history, delivered)
-        before = touched.count()
-        key = key_of(FACT_TABLE)
-        rows = batch.select(*FACT_COLUMNS)
-        known = touched.select(key) if config.numbers_within_period else keys_met(history, rows, key)
-        warehouse.append(FACT_TABLE, absent_rows(rows, known, key, unique=True))
-        after = in_periods(warehouse.read(FACT_TABLE), delivered).count()
-        quality.enforce(quality.growth_check(spark, before, after, repeated=before > 0))
-
+        new_periods = {p for p in staged.periods if not warehouse.has_period(*p)}
+        added = _append_new(warehouse, staged)
+        without = sum(not added[p] for p in new_periods)
+        quality.enforce(quality.growth_check(spark, sum(added.values()), without))
         for table in PERIOD_DIMENSIONS:
             warehouse.insert_if_absent(table, periods[table], unique=True)
-        return after - before
+        return sum(added.values())
     finally:
         paths.delete(spark, staging)
 
@@ -176,19 +236,23 @@ def next_period(warehouse: Warehouse) -> tuple[int, int]:
     return following["year"], following["month_num"]
 
 
-def load_period(job: MartJob, year: int, month: int) -> int:
-    """Land the raw file of a period if it has not landed, and load it."""
-    landing.land(job.spark, job.incoming, job.landed, year, month)
+def load_period(job: MartJob, year: int, month: int, force: bool = False) -> int:
+    """Land the raw file of a period if it has not landed, and load it.
+
+    With ``force`` the file is landed again: after a refused load the corrected one is read.
+    """
+    landing.land(job.spark, job.incoming, job.landed, year, month, force)
     source = landing.landed_path(job.landed, year, month)
     size_shuffles(
         job.spark, paths.size_of(job.spark, source, job.warehouse.path(FACT_TABLE))
     )
-    arrivals = kept(landing.read_landed(job.spark, job.landed, year, month))
+    landed = landing.read_landed(job.spark, job.landed, year, month, corrupt=True)
+    arrivals = landed.select(*KEPT_COLUMNS, CORRUPT)
     return load_batch(job.warehouse, _with_period(arrivals, year, month), job.config)
 
 
 def bootstrap(
-    job: MartJob, airports_csv: str, airlines_json: str, year: int, month: int
+    job: MartJob, airports_csv: str, airlines_json: str, year: int, month: int, force: bool = False
 ) -> int:
     """First run: reset, fill the dimensions from their files and load the first period."""
     set_up(
@@ -197,10 +261,10 @@ def bootstrap(
         read_airlines(job.spark, airlines_json),
         job.config,
     )
-    return load_period(job, year, month)
+    return load_period(job, year, month, force)
 
 
-def advance(job: MartJob) -> tuple[int, int, int]:
+def advance(job: MartJob, force: bool = False) -> tuple[int, int, int]:
     """Load the month after the latest one; returns year, month and the number of new rows."""
     year, month = next_period(job.warehouse)
-    return year, month, load_period(job, year, month)
+    return year, month, load_period(job, year, month, force)

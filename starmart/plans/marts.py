@@ -107,7 +107,7 @@ def over_time(fact: DataFrame, attribute: str) -> DataFrame:
 
 def attributes_over_time(fact: DataFrame) -> DataFrame:
     """Monthly and yearly rows per value of every reported attribute."""
-    return monthly_and_yearly(fact, REPORT_ATTRIBUTES)
+    return monthly_and_yearly(fact, REPORT_ATTRIBUTES, alone=("Flight_Number",))
 
 
 def rollup_by_time_and_city(fact: DataFrame) -> DataFrame:

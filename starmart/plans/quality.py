@@ -9,11 +9,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.functions import key_text
 from starmart.operators.filters import outside_period
 from starmart.operators.lookup import orphan_keys
 from starmart.schemas import FACT_COLUMNS, FACT_REFERENCES, key_of
 
-REPORT = "check_name string, severity string, passed boolean, observed bigint, expected string"
 LOG = logging.getLogger(__name__)
 ERROR, WARNING = "error", "warning"
 OLDEST_AGE = 120
@@ -37,65 +37,82 @@ def _rows(totals: DataFrame, checks: Sequence[Column]) -> DataFrame:
     return totals.select(F.inline(F.array(*checks)))
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
+    """A few rows of literals as a relation of known size; at least one row."""
+    values = [F.struct(*(value.alias(name) for name, value in row.items())) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*values)))
+
+
 def single_check(
     spark: SparkSession, name: str, passed: bool, observed: int, expected: str, severity: str = ERROR
 ) -> DataFrame:
-    return spark.createDataFrame([(name, severity, passed, observed, expected)], REPORT)
+    return spark.range(1).select(
+        F.inline(F.array(_check(name, severity, F.lit(passed), F.lit(observed), expected)))
+    )
 
 
-def source_checks(arrivals: DataFrame, qualifies: Column) -> DataFrame:
-    """The source has rows; how many qualifying ones have no key, which the load leaves out.
+def measured(spark: SparkSession, totals: Mapping[str, int | None], metrics: Sequence[str]) -> DataFrame:
+    """Totals observed while the rows passed by, as one row; without rows there may be none."""
+    return spark.range(1).select(
+        *(F.lit(totals.get(name) or 0).cast("bigint").alias(name) for name in metrics)
+    )
 
-    The rows are counted without reading a column, and the scan for missing keys skips row
-    groups whose statistics show none.
-    """
-    rows, keyless = F.col("rows"), F.col("keyless")
-    counted = arrivals.agg(F.count(F.lit(1)).alias("rows"))
-    without_key = arrivals.filter(F.col("cicid").isNull() & qualifies)
-    return union(
+
+def source_metrics(qualifies: Column, corrupt: Column | None = None) -> dict[str, Column]:
+    """What the source checks count: rows, qualifying ones without a key, and corrupt ones."""
+    without_key = key_text(F.col("cicid")).isNull() & qualifies
+    return {
+        "rows": F.count(F.lit(1)),
+        "keyless": F.count_if(without_key),
+        "corrupt": F.lit(0).cast("bigint") if corrupt is None else F.count(corrupt),
+    }
+
+
+def source_report(totals: DataFrame) -> DataFrame:
+    rows, keyless, corrupt = F.col("rows"), F.col("keyless"), F.col("corrupt")
+    return _rows(
+        totals,
         [
-            _rows(counted, [_check("source_has_rows", ERROR, rows > 0, rows, "> 0")]),
-            _rows(
-                without_key.agg(F.count(F.lit(1)).alias("keyless")),
-                [_check("arrival_number_present", WARNING, keyless == 0, keyless, "0")],
-            ),
-        ]
+            _check("source_has_rows", ERROR, rows > 0, rows, "> 0"),
+            _check("arrival_number_present", WARNING, keyless == 0, keyless, "0"),
+            _check("corrupt_rows", WARNING, corrupt == 0, corrupt, "0"),
+        ],
     )
 
 
-def period_checks(
-    arrivals: DataFrame, batch: DataFrame, year: str = "load_year", month: str = "load_month"
+def source_checks(
+    arrivals: DataFrame, qualifies: Column, corrupt: Column | None = None
 ) -> DataFrame:
-    """Every delivered period brought rows. One of many that did not is not registered."""
-    delivered = arrivals.select(F.col(year).alias("_year"), F.col(month).alias("_month"))
-    loaded = batch.select(year, month).distinct()
-    same = F.col("_year").eqNullSafe(F.col(year)) & F.col("_month").eqNullSafe(F.col(month))
-    without = delivered.distinct().join(loaded, same, "left_anti")
-    periods = F.col("periods")
-    return _rows(
-        without.agg(F.count(F.lit(1)).alias("periods")),
-        [_check("every_period_has_rows", WARNING, periods == 0, periods, "0")],
-    )
+    """The source has rows; how many qualifying ones have no key and are left out; corrupt rows."""
+    metrics = source_metrics(qualifies, corrupt)
+    return source_report(arrivals.agg(*(m.alias(name) for name, m in metrics.items())))
 
 
-def batch_checks(batch: DataFrame, year: str = "load_year", month: str = "load_month") -> DataFrame:
-    """Checks of new fact rows that need no shuffle, in one pass over them.
+def period_check(
+    spark: SparkSession, delivered: set[tuple[int, int]], loaded: set[tuple[int, int]]
+) -> DataFrame:
+    """Every delivered period brought rows. One of many that did not is not registered."""
+    without = len(delivered - loaded)
+    return single_check(spark, "every_period_has_rows", without == 0, without, "0", WARNING)
+
 
-    ``year`` and ``month`` name the columns with the period each row was loaded for. A row
-    whose period is not known or not a calendar month does not match.
+def batch_metrics(year: str = "load_year", month: str = "load_month") -> dict[str, Column]:
+    """What the batch checks count. ``year`` and ``month`` name the columns with the period each
+    row was loaded for; a row whose period is not known or no calendar month does not match.
     """
     outside = outside_period("Year", "Month", F.col(year), F.col(month))
     wrong_period = F.coalesce(outside | ~F.col(month).between(1, 12), F.lit(True))
-    filled = [F.count(F.col(c)).alias(f"_{c}") for c in FACT_COLUMNS]
-    totals = batch.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(wrong_period).alias("wrong_period"),
-        F.count_if(F.col("CICID").isNull()).alias("null_keys"),
-        F.count_if((F.col("Age") < 0) | (F.col("Age") > OLDEST_AGE)).alias("odd_ages"),
-        *filled,
-    )
+    return {
+        "rows": F.count(F.lit(1)),
+        "wrong_period": F.count_if(wrong_period),
+        "null_keys": F.count_if(F.col("CICID").isNull()),
+        "odd_ages": F.count_if((F.col("Age") < 0) | (F.col("Age") > OLDEST_AGE)),
+        **{f"_{c}": F.count(F.col(c)) for c in FACT_COLUMNS},
+    }
+
+
+def _batch_rows(columns: int) -> list[Column]:
     empty_columns = sum(((F.col(f"_{c}") == 0).cast("int") for c in FACT_COLUMNS), F.lit(0))
-    columns = len([c for c in batch.columns if c not in (year, month)])
     zero = [
         _check(name, severity, F.col(c) == 0, F.col(c), "0")
         for name, severity, c in (
@@ -104,21 +121,42 @@ def batch_checks(batch: DataFrame, year: str = "load_year", month: str = "load_m
             ("age_in_range", WARNING, "odd_ages"),
         )
     ]
-    return _rows(
-        totals,
-        [
-            _check("batch_not_empty", ERROR, F.col("rows") > 0, F.col("rows"), "> 0"),
-            _check("no_empty_column", ERROR, empty_columns == 0, empty_columns, "0"),
-            _check(
-                "fact_column_count",
-                ERROR,
-                F.lit(columns == len(FACT_COLUMNS)),
-                F.lit(columns),
-                str(len(FACT_COLUMNS)),
-            ),
-            *zero,
-        ],
+    width = F.lit(columns == len(FACT_COLUMNS)), F.lit(columns), str(len(FACT_COLUMNS))
+    return [
+        _check("batch_not_empty", ERROR, F.col("rows") > 0, F.col("rows"), "> 0"),
+        _check("no_empty_column", ERROR, empty_columns == 0, empty_columns, "0"),
+        _check("fact_column_count", ERROR, *width),
+        *zero,
+    ]
+
+
+def batch_report(totals: DataFrame, columns: int) -> DataFrame:
+    return _rows(totals, _batch_rows(columns))
+
+
+def batch_checks(batch: DataFrame, year: str = "load_year", month: str = "load_month") -> DataFrame:
+    """Checks of new fact rows that need no shuffle, in one pass over them."""
+    columns = len([c for c in batch.columns if c not in (year, month)])
+    metrics = batch_metrics(year, month)
+    return batch_report(batch.agg(*(m.alias(name) for name, m in metrics.items())), columns)
+
+
+def _key_row() -> Column:
+    return _check("key_unique", ERROR, F.col("keys") == 0, F.col("keys"), "0")
+
+
+def batch_and_key_checks(
+    batch: DataFrame, year: str = "load_year", month: str = "load_month", key: str = "CICID"
+) -> DataFrame:
+    """Both kinds of checks from one reading of the batch: totals per key, then over all keys."""
+    metrics = batch_metrics(year, month)
+    per_key = batch.groupBy(key).agg(*(m.alias(f"of_{name}") for name, m in metrics.items()))
+    totals = per_key.agg(
+        *(F.coalesce(F.sum(f"of_{name}"), F.lit(0)).alias(name) for name in metrics),
+        F.count_if(F.col("of_rows") > 1).alias("keys"),
     )
+    columns = len([c for c in batch.columns if c not in (year, month)])
+    return _rows(totals, [*_batch_rows(columns), _key_row()])
 
 
 def key_checks(batch: DataFrame, key: str = "CICID") -> DataFrame:
@@ -126,7 +164,7 @@ def key_checks(batch: DataFrame, key: str = "CICID") -> DataFrame:
     repeated = (
         batch.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("keys"))
     )
-    return _rows(repeated, [_check("key_unique", ERROR, F.col("keys") == 0, F.col("keys"), "0")])
+    return _rows(repeated, [_key_row()])
 
 
 def dimension_checks(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
@@ -135,8 +173,10 @@ def dimension_checks(spark: SparkSession, tables: Mapping[str, DataFrame | None]
     The rows of all dimensions are counted by one aggregate, to which each adds a zero.
     """
     found = {name: table for name, table in tables.items() if table is not None}
-    missing = [(f"{name}_exists", ERROR, False, 0, "table") for name in tables.keys() - found]
-    zeros = spark.createDataFrame([(name, 0) for name in found], "name string, one int")
+    missing = [single_check(spark, f"{name}_exists", False, 0, "table") for name in sorted(tables.keys() - found)]
+    if not found:
+        return union(missing)
+    zeros = literal_rows(spark, [{"name": F.lit(name), "one": F.lit(0)} for name in found])
     ones = [t.select(F.lit(name).alias("name"), F.lit(1).alias("one")) for name, t in found.items()]
     counted = union([zeros, *ones]).groupBy("name").agg(F.sum("one").alias("rows"))
     rows = F.col("rows")
@@ -147,7 +187,7 @@ def dimension_checks(spark: SparkSession, tables: Mapping[str, DataFrame | None]
         rows.alias("observed"),
         F.lit("> 0").alias("expected"),
     )
-    return filled.unionByName(spark.createDataFrame(missing, REPORT)) if missing else filled
+    return union([filled, *missing])
 
 
 def fact_orphans(fact: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -158,10 +198,11 @@ def fact_orphans(fact: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def growth_check(spark: SparkSession, before: int, after: int, repeated: bool) -> DataFrame:
-    """The fact grew; loading a period again may add nothing."""
-    severity = WARNING if repeated else ERROR
-    return single_check(spark, "fact_grew", after > before, after - before, "> 0", severity)
+def growth_check(spark: SparkSession, added: int, new_without_rows: int) -> DataFrame:
+    """The fact grew in every period that is new to it; loading a period again may add nothing."""
+    severity = ERROR if new_without_rows else WARNING
+    passed = added > 0 and not new_without_rows
+    return single_check(spark, "fact_grew", passed, added, "> 0 in every new period", severity)
 
 
 def union(reports: Sequence[DataFrame]) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import SparkSession
 
 LOCAL_MASTER = re.compile(r"local(\[[^\]]*\])?")
 SHUFFLE_INPUT_BYTES = 256 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 40_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -55,6 +54,6 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
     """
     given = int(spark.conf.get("spark.sql.shuffle.partitions"))
     current = int(spark.conf.get(INITIAL_PARTITIONS, None) or given)
-    wanted = min(math.ceil(input_bytes / SHUFFLE_INPUT_BYTES), MOST_SHUFFLE_PARTITIONS)
+    wanted = math.ceil(input_bytes / SHUFFLE_INPUT_BYTES)
     if wanted > current:
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))

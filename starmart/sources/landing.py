@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from starmart.schemas import RAW_ARRIVALS
 from starmart.sources import paths
-from starmart.sources.raw import CORRUPT, raw_file_name, read_raw
+from starmart.sources.raw import CORRUPT, raw_file_name, raw_schema, read_raw
 
 
 class SourceMissing(FileNotFoundError):
     """The raw file of the period has not arrived."""
 
 
+class SourceIncomplete(SourceMissing):
+    """A folder of parts has arrived without the mark that it is complete."""
+
+
 def landed_path(root: str, year: int, month: int) -> str:
     return f"{root}/year={year}/month={month}"
 
@@ -24,7 +28,9 @@ def land(
     """Write the raw file of a period to the landing area.
 
     Returns the rows read and the corrupt ones among them, or None if the period had landed
-    before. A folder left by a job that did not finish is written again.
+    before. A folder left by a job that did not finish is written again. A delivered folder of
+    parts has to be complete (``_SUCCESS``), so that no part arrives unseen later. Corrupt rows
+    keep their text, so that a load can count them.
     """
     target = landed_path(root, year, month)
     if not force and paths.is_complete(spark, target):
@@ -32,14 +38,22 @@ def land(
     source = f"{incoming}/{raw_file_name(year, month)}"
     if not paths.exists(spark, source):
         raise SourceMissing(source)
+    if paths.is_folder(spark, source) and not paths.is_complete(spark, source):
+        raise SourceIncomplete(source)
     seen = Observation("landing")
     rows = read_raw(spark, source).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("corrupt")
     )
-    rows.drop(CORRUPT).write.mode("overwrite").parquet(target)
+    rows.write.mode("overwrite").parquet(target)
     return dict(seen.get)
 
 
-def read_landed(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
-    """The landed rows of one period; no other folder is listed."""
-    return spark.read.schema(RAW_ARRIVALS).parquet(landed_path(root, year, month))
+def read_landed(
+    spark: SparkSession, root: str, year: int, month: int, corrupt: bool = False
+) -> DataFrame:
+    """The landed rows of one period, with the text of corrupt ones if asked for.
+
+    No other folder is listed.
+    """
+    schema = raw_schema() if corrupt else RAW_ARRIVALS
+    return spark.read.schema(schema).parquet(landed_path(root, year, month))

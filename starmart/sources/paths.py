@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.getFileStatus(hadoop_path).isDirectory()
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A written folder whose job finished."""
     return exists(spark, f"{path}/_SUCCESS")

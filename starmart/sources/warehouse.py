@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,15 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         return paths.exists(self.spark, self.path(table))
 
+    def scratch(self, purpose: str) -> str:
+        """New folder below the root for an intermediate table; whoever writes it deletes it."""
+        return f"{self.root}/_scratch/{purpose}-{uuid.uuid4().hex}"
+
+    def has_period(self, year: int, month: int) -> bool:
+        """Whether the fact has rows of a period, told by its partition folder."""
+        of_year, of_month = FACT_PARTITIONS
+        return paths.exists(self.spark, f"{self.path(FACT_TABLE)}/{of_year}={year}/{of_month}={month}")
+
     def create(self, tables: Iterable[str] = tuple(TABLES)) -> None:
         """Create the tables that do not exist, without rows: a folder with a declared layout."""
         for table in tables:

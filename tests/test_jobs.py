@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 from rows import (
@@ -15,7 +17,6 @@ from rows import (
 
 from starmart.__main__ import main
 from starmart.config import MartConfig
-from starmart.operators.lookup import sized
 from starmart.plans import fact as fact_plan
 from starmart.plans import jobs, marts, quality
 from starmart.schemas import DIMENSIONS, FACT_COLUMNS, FACT_TABLE, TABLES
@@ -161,22 +162,37 @@ def test_batch_checks(spark, fact, airports):
     assert extra["fact_column_count"] == (False, 15)
 
 
-def test_a_period_of_a_batch_without_rows_is_found(fact, spark):
-    batch = fact.withColumns({"load_year": F.lit(2016), "load_month": F.lit(1)})
-    source = [(2016, 1), (2016, 1), (2016, 2), (None, None)]
-    arrivals = spark.createDataFrame(source, "load_year int, load_month int")
-    found = outcomes(quality.period_checks(arrivals, batch))
+def test_a_period_of_a_batch_without_rows_is_found(spark):
+    delivered = {(2016, 1), (2016, 2), (None, None)}
+    found = outcomes(quality.period_check(spark, delivered, {(2016, 1)}))
     assert found == {"every_period_has_rows": (False, 2)}
-    found = outcomes(quality.period_checks(arrivals.limit(2), batch))
+    found = outcomes(quality.period_check(spark, {(2016, 1)}, {(2016, 1)}))
     assert found == {"every_period_has_rows": (True, 0)}
 
 
+def test_batch_and_key_checks_in_one_pass(fact):
+    batch = fact.withColumns({"load_year": F.lit(2016), "load_month": F.lit(1)})
+    for rows in (batch, batch.union(batch), batch.limit(0)):
+        apart = outcomes(quality.batch_checks(rows)) | outcomes(quality.key_checks(rows))
+        assert outcomes(quality.batch_and_key_checks(rows)) == apart
+
+
+def test_numbers_stored_alike_are_one_arrival(spark, airports):
+    rows = [for_month(ARRIVALS[0], 2016, 1, n) for n in ("1.0", "1.25", "nan")]
+    batch = fact_plan.fact_rows(spark.createDataFrame(rows, schema_of_kept()), airports, MartConfig())
+    assert [r.CICID for r in batch.collect()] == ["1"]
+
+
 def test_key_and_source_checks(spark, fact):
     assert outcomes(quality.key_checks(fact)) == {"key_unique": (True, 0)}
     assert outcomes(quality.key_checks(fact.union(fact))) == {"key_unique": (False, 9)}
     arrivals = spark.createDataFrame([*ARRIVALS, WITHOUT_KEY], schema_of_kept())
     found = outcomes(quality.source_checks(arrivals, F.col("visatype") == "E1"))
-    assert found == {"source_has_rows": (True, 14), "arrival_number_present": (False, 1)}
+    assert found == {
+        "source_has_rows": (True, 14),
+        "arrival_number_present": (False, 1),
+        "corrupt_rows": (True, 0),
+    }
     assert outcomes(quality.source_checks(arrivals.limit(0), F.lit(True)))["source_has_rows"] == (False, 0)
 
 
@@ -194,10 +210,11 @@ def test_missing_and_empty_dimensions_are_told_apart(spark, airports):
 
 
 def test_warnings_do_not_stop_a_load(spark, caplog):
-    quality.enforce(quality.growth_check(spark, 5, 5, repeated=True))
+    quality.enforce(quality.growth_check(spark, 0, 0))
     assert "fact_grew: 0, expected > 0" in caplog.text
+    quality.enforce(quality.growth_check(spark, 3, 0))
     with pytest.raises(quality.QualityError, match="fact_grew"):
-        quality.enforce(quality.growth_check(spark, 5, 5, repeated=False))
+        quality.enforce(quality.growth_check(spark, 3, 1))
 
 
 def test_create_and_drop(spark, tmp_path):
@@ -257,6 +274,43 @@ def test_a_failed_check_publishes_nothing(place):
     assert place.warehouse.count("months") == 1
 
 
+def test_a_corrected_file_loads_when_forced(place):
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    place.deliver(2016, 2, [OTHER_PERIOD, for_month(OTHER_PERIOD, 2016, 3, 14)])
+    with pytest.raises(quality.QualityError, match="period_matches"):
+        jobs.advance(place.job)
+    place.deliver(2016, 2, [OTHER_PERIOD])
+    with pytest.raises(quality.QualityError, match="period_matches"):
+        jobs.advance(place.job)
+    assert jobs.advance(place.job, force=True) == (2016, 2, 1)
+
+
+def test_a_new_period_that_adds_nothing_fails(spark, place):
+    """Also next to a known period that may, in one batch."""
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    known = [for_month(ARRIVALS[0], 2016, 1, 60), for_month(OTHER_PERIOD, 2016, 2, 1)]
+    batch = spark.createDataFrame(known, schema_of_kept()).withColumns(
+        {"load_year": F.lit(2016), "load_month": F.col("i94mon").cast("int")}
+    )
+    with pytest.raises(quality.QualityError, match="fact_grew"):
+        jobs.load_batch(place.warehouse, batch, place.job.config)
+
+
+def test_corrupt_rows_are_counted(place, caplog):
+    place.deliver(2016, 1, [*ARRIVALS, ("x", *ARRIVALS[0][1:])])
+    place.bootstrap(2016, 1)
+    assert "corrupt_rows: 1" in caplog.text
+
+
+def test_a_load_leaves_no_scratch(place):
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    root = pathlib.Path(place.warehouse.root) / "_scratch"
+    assert not root.exists() or not any(root.iterdir())
+
+
 def test_a_month_without_qualifying_rows_fails(place):
     place.deliver(2016, 1, ARRIVALS)
     place.bootstrap(2016, 1)
@@ -327,28 +381,6 @@ def test_reading_a_period_prunes_the_others(place):
     assert "ReadSchema: struct<Age:int>" in plan
 
 
-def test_periods_of_a_batch_prune_the_fact(spark, place):
-    place.deliver(2016, 1, ARRIVALS)
-    place.bootstrap(2016, 1)
-    path = f"{place.warehouse.root}/batch"
-    spark.createDataFrame([(2016, 1), (2016, 13)], "load_year int, load_month int").write.parquet(path)
-    periods = jobs.delivered_periods(spark.read.parquet(path))
-    frame = jobs.in_periods(place.warehouse.read(FACT_TABLE), sized(periods))
-    assert frame.count() == 9
-    assert "dynamicpruning" in frame._jdf.queryExecution().executedPlan().toString()
-
-
-def test_numbers_within_their_period(place):
-    place.deliver(2016, 1, ARRIVALS)
-    place.bootstrap(2016, 1)
-    config = MartConfig(numbers_within_period=True)
-    job = jobs.MartJob(place.job.spark, place.job.incoming, place.landed, place.warehouse, config)
-    place.deliver(2016, 2, [for_month(OTHER_PERIOD, 2016, 2, n) for n in (5, 13)])
-    assert jobs.advance(job) == (2016, 2, 2)
-    assert jobs.load_period(job, 2016, 2) == 0
-    assert place.fact_ids() == sorted([*KEPT_IDS, "5", "13"])
-
-
 def test_arriving_files(spark, place, tmp_path):
     place.deliver(2016, 1, ARRIVALS)
     place.bootstrap(2016, 1)
@@ -364,6 +396,7 @@ def test_arriving_files(spark, place, tmp_path):
     assert place.fact_ids() == KEPT_IDS
     folder = place.incoming / raw_file_name(2016, 2)
     folder.mkdir()
+    (folder / "_SUCCESS").touch()
     write_raw(folder / "part-0.csv", [OTHER_PERIOD])
     write_raw(folder / "part-1.csv", [for_month(OTHER_PERIOD, 2016, 2, 14)])
     place.deliver(2016, 3, [for_month(OTHER_PERIOD, 2016, 3, n) for n in (14, 15)])

@@ -240,4 +240,3 @@ def test_profiles(spark, people):
     empty = profile.null_profile(people.limit(0))
     assert all(r.all_null for r in empty.collect())
     assert rows(profile.shape(people)) == [(6, 3)]
-    assert profile.is_empty(people.limit(0)) and not profile.is_empty(people)

@@ -1,3 +1,4 @@
+import math
 import pytest
 from pyspark.sql import functions as F
 from rows import AIRLINE_FILE, AIRPORT_FILE, ARRIVALS, HEADER, write_raw
@@ -156,6 +157,27 @@ def test_shuffles_grow_with_the_input(spark):
         size_shuffles(spark, 1)
         assert spark.conf.get(name) == "100"
         size_shuffles(spark, 100 * 10**12)
-        assert spark.conf.get(name) == "40000"
+        assert spark.conf.get(name) == str(math.ceil(100 * 10**12 / (256 * 1024 * 1024)))
     finally:
         spark.conf.unset(name)
+
+
+def test_a_folder_of_parts_has_to_be_complete(spark, tmp_path):
+    incoming = tmp_path / "incoming"
+    folder = incoming / raw_file_name(2016, 1)
+    folder.mkdir(parents=True)
+    write_raw(folder / "part-0.csv", ARRIVALS)
+    with pytest.raises(landing.SourceIncomplete):
+        landing.land(spark, str(incoming), str(tmp_path / "landed"), 2016, 1)
+    (folder / "_SUCCESS").touch()
+    assert landing.land(spark, str(incoming), str(tmp_path / "landed"), 2016, 1)["rows"] == len(ARRIVALS)
+
+
+def test_airlines_as_lines_or_as_a_document(spark, tmp_path):
+    record = '{"iata": "%s", "name": "n", "country": "c", "active": "Y"}'
+    lines = tmp_path / "lines.json"
+    lines.write_text("\n".join(record % c for c in ("AA", "BB", "CC")) + "\n")
+    document = tmp_path / "document.json"
+    document.write_text("[\n" + ",\n".join(record % c for c in ("AA", "BB", "CC")) + "\n]\n")
+    for path in (lines, document):
+        assert {r.iata for r in read_airlines(spark, str(path)).collect()} == {"AA", "BB", "CC"}

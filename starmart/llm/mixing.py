@@ -210,24 +210,21 @@ def mix(docs: DataFrame, weights=WEIGHTS, block: int = BLOCK, seed: int = SEED)
     rows = stored(sized(docs), "sizes")
     sources = plan(rows, weights, block)
     named = stored(placed(rows, _frame(spark, sources)), "placed")
+    # Stored, so that Spark plans the join by its real size: it cannot guess how many rows a draw makes.
     times = slot_blocks(spark, sources, seed).groupBy("s", "block").agg(F.count(F.lit(1)).alias("times"))
-    met = doc_blocks(named, block).join(times, ["s", "block"])
-    part = F.struct("from_word", "to_word", "times")
-    taken = met.groupBy("s", "start").agg(
-        F.sum((F.col("to_word") - F.col("from_word")) * F.col("times")).alias("taken"),
-        F.array_sort(F.collect_list(part)).alias("parts"),
+    met = doc_blocks(named, block).join(stored(times, "times"), ["s", "block"], "left")
+    columns = ["doc_id", "mark", "size", "source_size", "target"]
+    words = (F.col("to_word") - F.col("from_word")) * F.coalesce("times", F.lit(0))
+    part = F.when(F.col("times") > 0, F.struct("from_word", "to_word", "times"))
+    taken = met.groupBy("s", "start", *columns).agg(
+        F.sum(words).alias("taken"), F.array_sort(F.collect_list(part)).alias("parts")
     )
-    # An empty row shares its start with the row behind it, which alone has the words.
-    shared = named.withColumn("place", F.when(F.col("size") > 0, F.col("start")))
-    return shared.join(taken.withColumnRenamed("start", "place"), ["s", "place"], "left").select(
-        "doc_id",
-        "mark",
-        "size",
-        "source_size",
-        "target",
-        F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
-        "parts",
+    empty = named.filter("size = 0").select(
+        *columns,
+        F.lit(0).cast("long").alias("taken"),
+        F.array().cast(taken.schema["parts"].dataType).alias("parts"),
     )
+    return taken.select(*empty.columns).union(empty)
 
 
 def _cut(text: str, parts: list, turn: int) -> str:
@@ -251,7 +248,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Columns are those of ``docs``; rows with the same doc_id and text share one decision.
     """
     found = mix(docs, **options).filter("taken > 0").select("doc_id", "mark", "parts")
-    decisions = found.dropDuplicates(["doc_id", "mark"])
+    decisions = stored(found.dropDuplicates(["doc_id", "mark"]), "decisions")
     same = docs["doc_id"].eqNullSafe(decisions["doc_id"]) & (F.xxhash64(docs["text"]) == decisions["mark"])
     columns = docs.columns
     parts = docs.join(decisions, same).select(*(docs[c] for c in columns), decisions["parts"].alias("_parts"))

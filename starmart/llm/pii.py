@@ -65,7 +65,7 @@ KINDS = (
     ),
     Kind(
         "ssn",
-        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+        r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
         "-",
         0.3,
         r"ssn|social security",

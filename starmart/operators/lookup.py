@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Fixed value: label of codes that the dictionary does not list.
 OTHER_CODES = "All Other Codes"
 
 
@@ -22,8 +23,11 @@ def fits_broadcast(side: DataFrame) -> bool:
     """Measure a join side: few enough rows and bytes to send to every executor?
 
     One distributed aggregate; only the two totals come back. A row is charged 16 bytes per
-    column on top of its text.
+    column on top of its text. Columns whose values may be long in other ways (binary, nested) are
+    not measured: a side that has one does not fit.
     """
+    if any(kind == "binary" or "<" in kind or kind == "variant" for _, kind in side.dtypes):
+        return False
     width = F.lit(16 * len(side.columns)).cast("bigint")
     text = [
         F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))

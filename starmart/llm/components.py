@@ -12,31 +12,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import stored
+from starmart.llm.common import forget, stored
 
 
-def _star(edges: DataFrame) -> DataFrame:
-    """``edges`` (u, v) with ``m``, the smallest of u and its neighbours."""
+def _least(edges: DataFrame) -> DataFrame:
+    """``m``, the smallest of u and its neighbours, for every u."""
     least = edges.groupBy("u").agg(F.min("v").alias("least"))
-    least = stored(least.select("u", F.least("u", "least").alias("m")), "star")
-    return edges.join(least, "u")
+    return stored(least.select("u", F.least("u", "least").alias("m")), "least")
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _round(edges: DataFrame) -> DataFrame:
+    """A large and a small star."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-
-
-def _small(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    hung = _star(down)
-    pairs = F.array(F.struct(F.col("u").alias("u")), F.struct(F.col("v").alias("u")))
-    return (
-        hung.select(F.explode(pairs).alias("n"), "m")
-        .select(F.col("n.u").alias("u"), F.col("m").alias("v"))
-        .filter("u != v")
-        .distinct()
-    )
+    large_least = _least(both)
+    large = both.join(large_least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    large = stored(large.distinct(), "large")
+    small_least = _least(large)
+    ends = F.array(F.col("u"), F.col("v"))
+    small = large.join(small_least, "u").select(F.explode(ends).alias("u"), F.col("m").alias("v"))
+    small = stored(small.filter("u != v").distinct(), "edges")
+    forget(large_least, large, small_least)
+    return small
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -55,7 +51,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(edges, "edges")
     state = _state(edges)
     while state[0]:
-        edges = stored(_small(_large(edges)), "edges")
+        old, edges = edges, _round(edges)
+        forget(old)
         before, state = state, _state(edges)
         if before == state:
             break

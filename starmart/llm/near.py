@@ -7,11 +7,16 @@ Every pair at or above the likeness is found. The steps, each over all documents
    of the order in which the next step takes shingles, which any common order makes exact.
 3. Two linked sets share one of the first ``n - ceil(0.75 n) + 1`` shingles of each. Nodes that share one
    form a block; blocks with the same nodes are kept once.
-4. Stars: nodes are compared with one hub of their blocks each, a few times with other hubs. Groups of
-   copies fall together, and blocks within one component need nothing more.
+4. Stars, for the nodes of large blocks: each is compared with one hub of its blocks, a few times with
+   other hubs while that finds many links. Large groups of copies fall together, and blocks within one
+   component need nothing more.
 5. In each block left, an R-tree over count vectors gives the pairs of different components that can
-   link at all; they are compared by their sets. Blocks beyond ``CHUNK`` nodes are cut into chunks that
-   meet pairwise, so no task holds a whole block.
+   link at all. Blocks beyond ``CHUNK`` nodes are cut into chunks that meet pairwise, so no task holds
+   a whole block.
+
+Pairs are first held against the bound of their count vectors, large sets also against that of vectors
+with more groups; only those that can link are compared by their sets, which are made from the texts of
+just these nodes.
 
 One R-tree over all documents was not usable: a radius of a seventh of two sets' sizes is wider than the
 distance of unrelated sets for most sizes and any affordable number of groups, so it would compare
@@ -32,17 +37,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import shuffle_partitions, stored
+from starmart.llm.common import forget, shuffle_partitions, stored
 from starmart.llm.components import components
-from starmart.llm.rtree import GROUPS, RTree, count_vector, may_link
+from starmart.llm.rtree import RTree, count_vector, may_link, vector_of
 from starmart.llm.shingles import set_digest, shingle_sets
 
 HOT = 32  # documents with a shingle from which it goes to the end of the order
 MOST_HOT = 1_000_000  # hottest shingles sent to the tasks, 8 MB; others only keep their usual place
 CHUNK = 1000
-FEW_PAIRS = 8  # pairs per node in blocks, below which stars are not worth a round
+FINE_GROUPS = 4096  # of a second count vector, for sets that fill the first one's groups
+FINE_FROM = 1024  # shingles from which a set has one
+LARGE = 8  # nodes of a block from which stars are tried before all its pairs
 STARS = 6
-TOKENS = 1 << 20  # shingles dealt at once
+FEW_LINKS = 0.02  # links per compared pair below which another star is not worth its round
+TOKENS = 1 << 19  # shingles dealt at once
 HALF = np.uint64(1 << 63)
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -58,22 +66,6 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield some, list(shingle_sets(some.column("text").to_pylist()))
 
 
-def doc_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id``, a hash of the text, ``n_shingles`` and the node, null without shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _texts(batches):
-            sizes = pa.array([len(s) for s in sets], pa.int64())
-            nodes = pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("mark"), sizes, nodes], ["doc_id", "mark", "n_shingles", "node"]
-            )
-
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(
-        run, "doc_id bigint, mark bigint, n_shingles bigint, node binary"
-    )
-
-
 def _low_part(tokens: np.ndarray, parts: int) -> np.ndarray:
     """Part of shingles in the lower half of the numbers."""
     return ((tokens >> np.uint64(31)) * np.uint64(parts)) >> np.uint64(32)
@@ -83,39 +75,73 @@ def _hot_key(tokens: np.ndarray, parts: int) -> np.ndarray:
     return (_low_part(tokens, parts) << np.uint64(32)) | (tokens & LOW)
 
 
-def hot_shingles(docs: DataFrame, parts: int) -> np.ndarray:
-    """Keys of the shingles of the lower half that ``HOT`` or more documents have, sorted.
+READ = (
+    "doc_id bigint, mark bigint, n_shingles bigint, node binary, vector binary, "
+    "part int, tokens binary, times binary"
+)
 
-    The first shingles of a text in the order are nearly always of the lower half: only these count.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def dealt(pile: list[np.ndarray]) -> pa.RecordBatch:
-            tokens, times = np.unique(np.concatenate(pile), return_counts=True)
-            rows: list[list] = [[], [], []]
-            part = _low_part(tokens, parts)
-            cuts = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-            short = (tokens & LOW).astype(np.uint32)
-            for p in np.unique(part).tolist():
-                own, n = short[cuts[p] : cuts[p + 1]], times[cuts[p] : cuts[p + 1]]
-                # Those met once come first and need no count.
-                rows[0].append(p)
-                rows[1].append(np.concatenate([own[n == 1], own[n > 1]]).tobytes())
-                rows[2].append(n[n > 1].astype(np.uint32).tobytes())
-            kinds = (pa.int32(), pa.binary(), pa.binary())
-            arrays = [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, ["part", "tokens", "times"])
+def read_texts(docs: DataFrame, parts: int) -> DataFrame:
+    """Two kinds of rows from one reading of the texts.
+
+    A document has ``doc_id``, a hash of its text, ``n_shingles``, the node (null without shingles) and
+    its count vector. A pile, told by its ``part``, has counted shingles of the lower half.
+    """
+    names = [field.split()[0] for field in READ.split(", ")]
+    kinds = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.int32()] + [pa.binary()] * 2
+
+    def rows(columns: dict[str, object], n: int) -> pa.RecordBatch:
+        arrays = [
+            pa.nulls(n, kind) if name not in columns else pa.array(columns[name], kind)
+            for name, kind in zip(names, kinds, strict=True)
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    def documents(batch: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
+        columns = {
+            "doc_id": batch.column("doc_id"),
+            "mark": batch.column("mark"),
+            "n_shingles": [len(s) for s in sets],
+            "node": [set_digest(s) if len(s) else None for s in sets],
+            "vector": [count_vector(s).tobytes() if len(s) else None for s in sets],
+        }
+        return rows(columns, len(sets))
+
+    def piles(pile: list[np.ndarray]) -> pa.RecordBatch:
+        tokens, times = np.unique(np.concatenate(pile), return_counts=True)
+        part = _low_part(tokens, parts)
+        cuts = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+        short = (tokens & LOW).astype(np.uint32)
+        columns: dict[str, list] = {"part": [], "tokens": [], "times": []}
+        for p in np.unique(part).tolist():
+            own, n = short[cuts[p] : cuts[p + 1]], times[cuts[p] : cuts[p + 1]]
+            columns["part"].append(p)
+            # Those met once come first and need no count.
+            columns["tokens"].append(np.concatenate([own[n == 1], own[n > 1]]).tobytes())
+            columns["times"].append(n[n > 1].astype(np.uint32).tobytes())
+        return rows(columns, len(columns["part"]))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pile, size = [], 0
-        for _, sets in _texts(batches):
+        for batch, sets in _texts(batches):
+            yield documents(batch, sets)
             for s in sets:
                 pile.append(s[: np.searchsorted(s, HALF)])
                 size += len(pile[-1])
             if size >= TOKENS:
-                yield dealt(pile)
+                yield piles(pile)
                 pile, size = [], 0
         if size:
-            yield dealt(pile)
+            yield piles(pile)
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, READ)
+
+
+def hot_shingles(read: DataFrame, parts: int) -> np.ndarray:
+    """Keys of the shingles of the lower half that ``HOT`` or more documents have, sorted.
+
+    The first shingles of a text in the order are nearly always of the lower half: only these count.
+    """
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, list] = {}
@@ -134,7 +160,7 @@ def hot_shingles(docs: DataFrame, parts: int) -> np.ndarray:
                 [pa.array(keys, pa.int64()), pa.array(sums[hot].astype(np.int64), pa.int64())], ["key", "n"]
             )
 
-    counted = docs.select("text").mapInArrow(count, "part int, tokens binary, times binary")
+    counted = read.filter("part IS NOT NULL").select("part", "tokens", "times")
     hot = counted.repartitionById(parts, F.col("part")).mapInArrow(total, "key bigint, n bigint")
     hottest = hot.orderBy(F.desc("n"), "key").limit(MOST_HOT).select("key").toPandas()["key"]
     return np.sort(hottest.to_numpy(np.int64)).astype(np.uint64)
@@ -246,75 +272,125 @@ def blocks(docs: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
     return found.distinct()
 
 
-def node_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Per node of ``nodes`` its ``size``, count ``vector`` and ``shingles``, from one document each."""
-    one = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("of"))
-    wanted = stored(one.join(nodes, "node", "left_semi").select("of.*").distinct(), "wanted")
-    same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (F.xxhash64(docs["text"]) == wanted["mark"])
-    texts = docs.join(wanted, same, "left_semi").select("text")
+def node_table(sets: DataFrame) -> DataFrame:
+    """Per node its count vector, its smallest doc_id, and one document that has the set."""
+    return (
+        sets.filter("node IS NOT NULL")
+        .groupBy("node")
+        .agg(F.min("vector").alias("vector"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "mark")).alias("of"))
+    )
+
+
+def _sets_of(docs: DataFrame, one: DataFrame) -> DataFrame:
+    """``node``, ``shingles`` and ``fine`` vector (empty for small sets) of the documents ``one``."""
+    same = docs["doc_id"].eqNullSafe(one["doc_id"]) & (F.xxhash64(docs["text"]) == one["mark"])
+    texts = docs.join(one, same, "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in _texts(batches):
-            found = [s for s in found if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([set_digest(s) for s in found], pa.binary()),
-                    pa.array([len(s) for s in found], pa.int32()),
-                    pa.array([count_vector(s).astype("<u4").tobytes() for s in found], pa.binary()),
-                    pa.array([s.tobytes() for s in found], pa.binary()),
-                ],
-                ["node", "size", "vector", "shingles"],
-            )
+            columns = map(set_digest, found), (s.tobytes() for s in found), map(_fine_vector, found)
+            arrays = [pa.array(c, pa.binary()) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, ["node", "shingles", "fine"])
+
+    return texts.mapInArrow(run, "node binary, shingles binary, fine binary").dropDuplicates(["node"])
+
+
+def _fine_vector(s: np.ndarray) -> bytes:
+    if len(s) < FINE_FROM:
+        return b""
+    counts = count_vector(s, FINE_GROUPS)
+    return counts.astype(np.uint16).tobytes() if counts.max() < 1 << 16 else b""
+
+
+def _fine_overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
+    if not x or not y:
+        return 0, 0, 0  # nothing known: it may link
+    x, y = (np.frombuffer(v, np.uint16).astype(np.int32) for v in (x, y))
+    return np.minimum(x, y).sum(), x.sum(), y.sum()
+
 
-    schema = "node binary, size int, vector binary, shingles binary"
-    return texts.mapInArrow(run, schema).dropDuplicates(["node"])
+def _both_ends(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    a = values.select(F.col("node").alias("u"), F.col(column).alias("a"))
+    b = values.select(F.col("node").alias("v"), F.col(column).alias("b"))
+    return pairs.join(b, "v").join(a, "u").select("u", "v", "a", "b")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``(u, v)`` of nodes whose sets link."""
-    a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
+def _fitting(pairs: DataFrame, overlap) -> DataFrame:
+    """The pairs for whose values ``overlap`` gives enough; it returns the overlap and both sizes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("a"), batch.column("b"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(bool(may_link(common, len(x), len(y))))
+            both = zip(batch.column("a"), batch.column("b"), strict=True)
+            keep = [bool(may_link(*overlap(x.as_py(), y.as_py()))) for x, y in both]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(b, "v").join(a, "u").select("u", "v", "a", "b").mapInArrow(run, "u binary, v binary")
+    return pairs.mapInArrow(run, "u binary, v binary")
 
 
-def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Each node with one hub of its blocks; which node of a block is the hub changes with the turn."""
+def _vector_overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
+    x, y = vector_of(x), vector_of(y)
+    return np.minimum(x, y).sum(), x.sum(), y.sum()
 
-    def order(column: str):
-        return F.xxhash64(F.col(column), F.lit(turn))
 
-    hubs = members.groupBy("block").agg(F.min_by("node", order("node")).alias("hub"))
+def _set_overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    return len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)
+
+
+def linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``(u, v)`` of nodes whose sets link; ``pairs`` can link by their count vectors."""
+    pairs = stored(pairs, "pairs")
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    one = stored(nodes.join(ends, "node", "left_semi").select("of.*").distinct(), "wanted")
+    sets = stored(_sets_of(docs, one), "sets")
+    close = stored(_fitting(_both_ends(pairs, sets, "fine"), _fine_overlap), "close-pairs")
+    found = stored(_fitting(_both_ends(close, sets, "shingles"), _set_overlap), "links")
+    forget(pairs, one, close, sets)
+    return found
+
+
+def _hub_pairs(members: DataFrame, turn: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Each node with the hub that most of its blocks have, if that is of another component.
+
+    Also the stored tables that the pairs read. A block's hub is first its node with the most blocks, as the text the copies were made from; in
+    later turns any other.
+    """
+    chance = F.xxhash64("node", F.lit(turn))
+    read = []
+    if turn:
+        ranked = members.withColumn("rank", F.struct(F.lit(0).cast("long").alias("n"), chance.alias("c")))
+    else:
+        degrees = stored(members.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "degrees")
+        read.append(degrees)
+        ranked = members.drop("n").join(degrees, "node")
+        ranked = ranked.withColumn("rank", F.struct("n", chance.alias("c")))
+    both = F.max_by(F.struct("node", "component"), "rank")
+    hubs = ranked.groupBy("block").agg(both.alias("h"))
+    hubs = hubs.select("block", F.col("h.node").alias("hub"), F.col("h.component").alias("hub_component"))
     hubs = stored(hubs, "hubs")
-    chosen = members.join(hubs, "block").groupBy("node").agg(F.min_by("hub", order("hub")).alias("hub"))
-    return chosen.filter("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    read.append(hubs)
+    met = members.join(hubs, "block").filter("component != hub_component")
+    times = met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
+    chosen = times.groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
+    return chosen.select(F.col("node").alias("u"), F.col("hub").alias("v")), read
 
 
 def _left(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members, with their component, of the blocks that several components meet in."""
+    """Members, with their component and the block's nodes ``n``, of blocks that several components meet in."""
     labelled = members.join(groups, "node", "left").select(
         "block", "node", F.coalesce("component", "node").alias("component")
     )
     labelled = stored(labelled, "labelled")
-    mixed_blocks = (
-        labelled.groupBy("block")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-        .filter("low != high")
-        .select("block", "n")
+    met = labelled.groupBy("block").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
     )
-    return labelled.join(stored(mixed_blocks, "mixed"), "block")
+    met = stored(met.filter("low != high").select("block", "n"), "met")
+    left = stored(labelled.join(met, "block"), "left")
+    forget(labelled, met)
+    return left
 
 
-def _tree_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _tree_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of different components that can link, by an R-tree per block or pair of chunks."""
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     own = F.pmod(F.hash("node"), chunks)
@@ -325,7 +401,7 @@ def _tree_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     rows = (
         members.withColumn("spot", F.explode(spots))
         .select("block", "node", "component", "spot.*")
-        .join(sets.select("node", "vector"), "node")
+        .join(nodes.select("node", "vector"), "node")
         .repartition("block", "i", "j")
         .sortWithinPartitions("block", "i", "j")
     )
@@ -337,9 +413,10 @@ def _tree_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
         right = left if i == j else [g for g in group if g[5] == j]
         if not left or not right:
             return
-        tree = RTree(np.array([np.frombuffer(g[6], "<u4") for g in left], np.int32).reshape(-1, GROUPS))
+        points = vector_of(b"".join(g[6] for g in left)).reshape(len(left), -1)
+        tree = RTree(points)
         for _, _, _, node, component, _, vector in right:
-            for row in tree.search(np.frombuffer(vector, "<u4").astype(np.int32)):
+            for row in tree.search(vector_of(vector)):
                 other = left[row]
                 if other[4] != component and (i != j or other[3] < node):
                     yield min(node, other[3]), max(node, other[3])
@@ -356,25 +433,30 @@ def _tree_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "u binary, v binary").distinct()
 
 
-def node_components(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(node, component)`` of the nodes that link with another one."""
-    parts = _parts(docs)
-    members = stored(blocks(docs, hot_shingles(docs, parts), parts), "blocks")
-    shingles = stored(node_sets(docs, sets, members.select("node").distinct()), "node-sets")
-    links = docs.sparkSession.createDataFrame([], "u binary, v binary")
-    groups = docs.sparkSession.createDataFrame([], "node binary, component binary")
-    left = members.select("block", "node", F.col("node").alias("component"), F.lit(2).alias("n"))
+def node_components(docs: DataFrame, nodes: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
+    """``(node, component)`` of the nodes that link with another one. ``nodes`` is a stored node table."""
+    spark = docs.sparkSession
+    members = stored(blocks(docs, hot, parts), "blocks")
+    links = spark.createDataFrame([], "u binary, v binary")
+    groups = spark.createDataFrame([], "node binary, component binary")
+    left = _left(members, groups)
     for turn in range(STARS):
-        new = stored(linked(_hub_pairs(left, turn), shingles), "links")
+        large = left.filter(F.col("n") > LARGE)
+        compared = large.select("node").distinct().count()
+        if not compared:
+            break
+        hubs, read = _hub_pairs(large, turn)
+        new = linked(docs, nodes, _fitting(_both_ends(hubs, nodes, "vector"), _vector_overlap))
+        forget(*read, left)
         links = links.union(new)
         groups = stored(components(links), "groups")
-        left = stored(_left(members, groups), "left")
-        row = left.agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("n") - 1) / 2).alias("pairs")).first()
-        if not row["rows"] or row["pairs"] <= FEW_PAIRS * row["rows"]:
+        left = _left(members, groups)
+        forget(groups)
+        if new.count() <= FEW_LINKS * compared:
             break
-    if row["rows"]:
-        links = links.union(stored(linked(_tree_pairs(left, shingles), shingles), "links"))
-        groups = stored(components(links), "groups")
+    links = links.union(linked(docs, nodes, _tree_pairs(left, nodes)))
+    groups = stored(components(links), "groups")
+    forget(members, left)
     return groups
 
 
@@ -384,10 +466,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``mark`` (a hash of the text) and ``component`` (a node, null without shingles) come with it.
     """
     docs = docs.select("doc_id", "text")
-    sets = stored(doc_sets(docs), "doc-sets")
-    groups = node_components(docs, sets)
-    nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    rooted = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = _parts(docs)
+    read = stored(read_texts(docs, parts), "read-texts")
+    hot = hot_shingles(read, parts)
+    documents = read.filter("part IS NULL")
+    nodes = stored(node_table(documents), "nodes")
+    sets = stored(documents.select("doc_id", "mark", "n_shingles", "node"), "doc-sets")
+    forget(read)
+    groups = node_components(docs, nodes, hot, parts)
+    rooted = nodes.select("node", "least").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rooted = stored(rooted, "rooted")
     ids = stored(rooted.groupBy("component").agg(F.min("least").alias("component_id")), "ids")
     by_node = stored(rooted.join(ids, "component").select("node", "component", "component_id"), "node-ids")

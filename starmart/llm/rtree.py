@@ -9,15 +9,19 @@ from __future__ import annotations
 
 import numpy as np
 
-GROUPS = 64
-LEAF = 16
+GROUPS = 256
+LEAF = 32
 FANOUT = 8
 
 
-def count_vector(shingles: np.ndarray) -> np.ndarray:
+def count_vector(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """Shingles per group, told by bits that the order of the hashes does not use."""
-    groups = (shingles & np.uint64(GROUPS - 1)).astype(np.int64)
-    return np.bincount(groups, minlength=GROUPS).astype(np.int32)
+    own = (shingles & np.uint64(groups - 1)).astype(np.int64)
+    return np.bincount(own, minlength=groups).astype(np.int32)
+
+
+def vector_of(stored: bytes) -> np.ndarray:
+    return np.frombuffer(stored, np.int32)
 
 
 def may_link(overlap: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:

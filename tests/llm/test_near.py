@@ -41,10 +41,11 @@ def corpus():
     return rows + [(5, "repeated row here today for you"), (5, "repeated row here today for you"), (None, "a b c d")]
 
 
-@pytest.mark.parametrize("few_pairs", [near.FEW_PAIRS, 10**9, 0])
-def test_brute_force(spark, corpus, monkeypatch, few_pairs):
-    monkeypatch.setattr(near, "FEW_PAIRS", few_pairs)
+@pytest.mark.parametrize("large", [near.LARGE, 3])
+def test_brute_force(spark, corpus, monkeypatch, large):
+    monkeypatch.setattr(near, "LARGE", large)
     monkeypatch.setattr(near, "CHUNK", 40)
+    monkeypatch.setattr(near, "FINE_FROM", 60)
     frame = spark.createDataFrame([(*r, "c") for r in corpus], "doc_id long, text string, node string")
     assert found(frame) == near_components(corpus)
 

@@ -1,5 +1,7 @@
 """Quality rules against plain Python and on edge cases."""
 
+import textwrap
+
 import pytest
 from brute import quality_counts
 
@@ -49,6 +51,31 @@ def test_line_rules(judged):
     assert not by_text[""].kept and by_text[None].lost == 0
 
 
+PROSE = [" ".join(f"{p}word{i}" for i in range(40)) + "." for p in "abcdef"]
+NOISE = " ".join(["noise"] * 60)
+LINES = {
+    **{f"wrapped at {n}": ("\n\n".join(textwrap.fill(p, n) for p in PROSE), None) for n in (60, 72, 80)},
+    "wrapped without blank lines": ("\n".join(textwrap.fill(p, 72) for p in PROSE), None),
+    "headings and a list": (f"Title\n\n{PROSE[0]}\n\nHeading\n{PROSE[1]}\n- one\n- two\n\n{PROSE[2]}", None),
+    "danda": ("\n".join(p[:-1] + "।" for p in PROSE), None),
+    "arabic question": ("\n".join(p[:-1] + "؟" for p in PROSE), None),
+    "armenian, ethiopic": ("\n".join(p[:-1] + "։።"[i % 2] for i, p in enumerate(PROSE)), None),
+    "thai": ("\n".join(" ".join(["ภาษาไทย" * 8] * 10) for _ in range(6)), None),
+    "long line without a mark": (f"{PROSE[0]}\n{NOISE}\n{PROSE[1]}", f"{PROSE[0]}\n{PROSE[1]}"),
+    "wrapped paragraph without a mark": (
+        "\n\n".join(textwrap.fill(p, 72) for p in [*PROSE[:2], NOISE, *PROSE[2:]]),
+        "\n\n".join([textwrap.fill(p, 72) for p in PROSE[:2]] + [""] + [textwrap.fill(p, 72) for p in PROSE[2:]]).replace("\n\n\n\n", "\n\n\n"),
+    ),
+    "menu below the text": (f"{PROSE[0]}\nHome\nNews\nImprint", PROSE[0]),
+}
+
+
+def test_paragraphs(spark):
+    frame = spark.createDataFrame([(k, t) for k, (t, _) in LINES.items()], "name string, text string")
+    cleaned = {r.name: r.cleaned_text for r in quality.judge(frame).collect()}
+    assert cleaned == {k: t if left is None else left for k, (t, left) in LINES.items()}
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert quality.judge(empty).collect() == []

@@ -1,8 +1,10 @@
 """Personal data spans (native): patterns propose, checksums confirm, nearby words adjust the score.
 
 Each kind has a pattern, a check of the match (Luhn for cards, mod-97 for IBANs, ranges for the rest),
-a score, and words that raise the score when they stand shortly before the match. The base kinds are
-reported whenever their check holds; the added kinds only from ``min_score`` on.
+a score, and words that raise the score when they stand shortly before or after the match, up to the next
+match of the kind that passes its check. Such matches hand their context on to each other in a list (no
+words between them but a conjunction) or column (a line break between). The base kinds are reported
+whenever their check holds; the added kinds only from ``min_score`` on.
 
 The patterns take whole runs possessively and start a run at its first character or where the last
 match ended, which finds the same leftmost matches in linear time on texts without any white space.
@@ -13,6 +15,7 @@ exclusive; input columns stay, and added ones replace input columns of the same
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +25,7 @@ from starmart.llm.common import let, whole_text
 
 CONTEXT_CHARS = 40
 CONTEXT_GAIN = 0.3
+LISTED = r"^(?:(?:[^\p{L}]|\b(?:and|or|und|oder|et|ou|y|o|e)\b)*+|(?s:.*\n.*))$"
 MIN_SCORE = 0.6
 
 SPAN_TYPE = "array<struct<start:int,end:int,score:double>>"
@@ -119,35 +123,116 @@ def _valid(kind: Kind, match: Column) -> Column:
     return F.lit(True)
 
 
-def spans_of(kind: Kind, text: Column, min_score: float) -> Column:
-    """Spans of one kind. Gaps between matches and the matches themselves add up to positions."""
-    none = F.array().cast(SPAN_TYPE)
+def _left(text: Column) -> Column:
+    return F.substring(text, 1, CONTEXT_CHARS)
 
-    def place(done: Column, pair: Column) -> Column:
+
+def _right(text: Column) -> Column:
+    return F.when(F.length(text) <= CONTEXT_CHARS, text).otherwise(
+        F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS)
+    )
+
+
+def _found(pairs: Column) -> Column:
+    """For the matches that pass their check: place, text before back to the last one, and if it is so near."""
+
+    def add(done: Column, pair: Column) -> Column:
         start = done["at"] + F.length(pair["gap"])
         end = start + F.length(pair["match"])
-        near = F.lower(F.substring(pair["gap"], -CONTEXT_CHARS, CONTEXT_CHARS)).rlike(kind.context)
-        score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near, CONTEXT_GAIN).otherwise(0.0))
-        fits = _valid(kind, pair["match"]) & (F.lit(kind.base) | (score >= min_score))
-        span = F.struct(start.alias("start"), end.alias("end"), score.alias("score"))
-        found = F.when(fits, F.concat(done["found"], F.array(span))).otherwise(done["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
-
-    def placed(matches: Column) -> Column:
-        gaps = F.split(text, kind.pattern, -1)
-        pairs = F.zip_with(
-            matches,
-            F.slice(gaps, F.lit(1), F.size(matches)),
-            lambda m, g: F.struct(g.alias("gap"), m.alias("match")),
+        before = _right(F.concat(done["tail"], _right(pair["gap"])))
+        last = F.get(done["found"], F.size(done["found"]) - 1)["end"]
+        span = F.struct(
+            start.alias("start"),
+            end.alias("end"),
+            before.alias("before"),
+            F.coalesce(start - last <= CONTEXT_CHARS, F.lit(False)).alias("close"),
         )
-        start = F.struct(F.lit(0).alias("at"), none.alias("found"))
+        return F.struct(
+            end.alias("at"),
+            F.when(pair["valid"], "").otherwise(_right(F.concat(before, _right(pair["match"])))).alias("tail"),
+            F.when(pair["valid"], F.concat(done["found"], F.array(span))).otherwise(done["found"]).alias("found"),
+        )
+
+    none = F.array().cast("array<struct<start:int,end:int,before:string,close:boolean>>")
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("found"))
+    return F.aggregate(pairs, start, add, lambda done: done["found"])
+
+
+def _after(pairs: Column) -> Column:
+    """The text after each of those matches, up to the next one."""
+
+    def add(done: Column, pair: Column) -> Column:
+        after = _left(F.concat(_left(pair["next"]), done["head"]))
+        return F.struct(
+            F.when(pair["valid"], "").otherwise(_left(F.concat(_left(pair["match"]), after))).alias("head"),
+            F.when(pair["valid"], F.concat(done["found"], F.array(after))).otherwise(done["found"]).alias("found"),
+        )
+
+    start = F.struct(F.lit("").alias("head"), F.array().cast("array<string>").alias("found"))
+    return F.reverse(F.aggregate(F.reverse(pairs), start, add, lambda done: done["found"]))
+
+
+def _spread(spans: Column, linked: Callable[[Column, Column], Column]) -> Column:
+    """Context handed on from one span of the array to the next one, where they are linked."""
+
+    def add(done: Column, span: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        near = span["near"] | (last["near"] & linked(last, span))
+        return F.concat(done, F.array(span.withField("near", near)))
+
+    rest = F.slice(spans, F.lit(2), F.greatest(F.size(spans) - 1, F.lit(0)))
+    return F.aggregate(rest, F.slice(spans, 1, 1), add)
+
+
+def spans_of(kind: Kind, text: Column, min_score: float) -> Column:
+    """Spans of one kind. Gaps between matches and the matches themselves add up to positions."""
+    none = F.array().cast(SPAN_TYPE)
+
+    def scored(spans: Column) -> Column:
+        def score(s: Column) -> Column:
+            raised = F.lit(kind.score) + F.when(s["near"], CONTEXT_GAIN).otherwise(0.0)
+            total = F.least(F.lit(1.0), raised)
+            return F.struct(s["start"].alias("start"), s["end"].alias("end"), total.alias("score"))
+
+        return F.filter(F.transform(spans, score), lambda s: F.lit(kind.base) | (s["score"] >= min_score))
+
+    def placed(pairs: Column) -> Column:
+        def near(found: Column, after: Column) -> Column:
+            words = F.lower(found["before"]).rlike(kind.context) | F.lower(after).rlike(kind.context)
+            return F.struct(
+                found["start"].alias("start"),
+                found["end"].alias("end"),
+                words.alias("near"),
+                (found["close"] & F.lower(found["before"]).rlike(LISTED)).alias("linked"),
+            )
+
+        own = F.zip_with(_found(pairs), _after(pairs), near)
+        forth = let(own, lambda spans: _spread(spans, lambda last, s: s["linked"]))
+        back = let(F.reverse(forth), lambda spans: _spread(spans, lambda last, s: last["linked"]))
+        return let(F.reverse(back), scored)
+
+    def paired(matches: Column) -> Column:
+        def pairs(gaps: Column) -> Column:
+            return F.transform(
+                matches,
+                lambda m, i: F.struct(
+                    F.get(gaps, i).alias("gap"),
+                    m.alias("match"),
+                    F.get(gaps, i + 1).alias("next"),
+                    _valid(kind, m).alias("valid"),
+                ),
+            )
+
         return F.when(F.size(matches) == 0, none).otherwise(
-            F.aggregate(pairs, start, place, lambda done: done["found"])
+            let(
+                let(F.split(text, kind.pattern, -1), pairs),
+                lambda p: F.when(F.exists(p, lambda x: x["valid"]), placed(p)).otherwise(none),
+            )
         )
 
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     hinted = F.contains(text, F.lit(kind.hint)) if kind.hint else F.lit(True)
-    return F.when(hinted, let(matches, placed)).otherwise(none)
+    return F.when(hinted, let(matches, paired)).otherwise(none)
 
 
 def find(docs: DataFrame, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:

@@ -61,6 +61,25 @@ def test_context_raises_the_score(spark):
     assert near[0][0].score > far[0][0].score
 
 
+SSNS = {
+    "SSN: 123-45-6789, 987-65-4321": 2,
+    "SSN\n" + "\n".join(f"{i}-45-6789" for i in range(100, 160)): 60,
+    "123-45-6789 (SSN)": 1,
+    "987-65-4321, 123-45-6789 (SSN)": 2,
+    "SSNs 123-45-6789 and 987-65-4321": 2,
+    "name, SSN\nAnn, 123-45-6789\nBea, 987-65-4321": 2,
+    "part 123-45-6789, part 987-65-4321": 0,
+    "SSN 123-45-6789 " + "x" * 60 + " 987-65-4321": 1,
+}
+
+
+def test_context_around_and_neighbours(spark):
+    frame = spark.createDataFrame([(t,) for t in SSNS], "text string")
+    for row in pii.find(frame).collect():
+        assert len(row.ssn_spans) == SSNS[row.text], row.text
+        assert all(row.text[s.start : s.end].count("-") == 2 for s in row.ssn_spans)
+
+
 def test_masked(spark):
     texts = ["x a@b.cd, 10.0.0.1.", "clean", None, "+1 (555) 123-4567"]
     frame = pii.find(spark.createDataFrame([(t,) for t in texts], "text string"))

@@ -7,7 +7,9 @@ averaged over each path's blocks and held against a share of the best path. Bloc
 
 Paths inside the page's main element weigh double; paths through page furniture (menus, headers and
 footers of the page, forms, adverts, notices, reader comments, told by tag, role or class) weigh
-nothing. Scripts, styles and the head never become blocks.
+nothing. Articles and main elements are never judged by class; a form, or an element named as furniture,
+is none where it holds the main element or, without one, most of the unlinked text. Where everything is
+furniture, nothing is. Scripts, styles and the head never become blocks.
 
 Defined results: a null or empty page, or one without blocks, gives the empty text. Rows are
 independent, so repeated pages give repeated results. Input columns stay; an added column replaces one
@@ -56,6 +58,13 @@ FURNITURE_WORDS = set(
     breadcrumbs footer comment comments disqus reply replies respond related share sharing social login
     signup pagination widget toolbar masthead copyright""".split()
 )
+# Parts that a furniture name may have besides: "site-footer" is furniture, "with-sidebar" is not.
+PLACE_WORDS = set(
+    """area bar block bottom box btn button buttons center container content footer header holder icon icons
+    inner item items left link links list main outer overlay page panel post posts primary right secondary
+    section site the title top wrap wrapper""".split()
+)
+READER_WORDS = set("comment comments disqus reply replies respond".split())
 SENTENCE_MARKS = frozenset(".,;:!?…。，！？")
 
 _TOKEN = re.compile(
@@ -78,7 +87,7 @@ class Block:
     main: bool
 
 
-@dataclass
+@dataclass(eq=False)
 class _Element:
     tag: str
     path: int
@@ -87,6 +96,7 @@ class _Element:
     main: bool
     holds_main: bool = False
     by_name: bool = False
+    by_readers: bool = False
     parent: _Element | None = None
 
 
@@ -133,7 +143,8 @@ class _Page:
                 self._end_nearest(*ENDS_BEFORE[tag])
         parent = self.stack[-1]
         path = self.paths.setdefault((parent.path, tag), len(self.paths) + 1)
-        named = self._named(tag, attributes)
+        found = self._furniture_words(tag, attributes)
+        named, by_readers = bool(found), bool(found & READER_WORDS)
         inside = parent.main
         own_main = tag in ("article", "main") and not self.main_seen and not named and not self._around(parent)
         if own_main:
@@ -142,28 +153,36 @@ class _Page:
                 element.holds_main = True
         tagged = tag in FURNITURE_TAGS or (tag == "header" and not inside)
         element = _Element(tag, path, parent.silent or tag in SILENT, tagged, inside or own_main)
-        element.by_name, element.parent = named, parent
+        element.by_name, element.by_readers, element.parent = named, by_readers, parent
         self.stack.append(element)
         self.links += tag == "a"
 
     @staticmethod
     def _around(element: _Element | None) -> bool:
-        """Whether a furniture element is open."""
+        """Whether a furniture element other than a form, or one of reader comments, is open."""
         while element is not None:
-            if element.furniture:
+            if (element.furniture and element.tag != "form") or element.by_readers:
                 return True
             element = element.parent
         return False
 
     @staticmethod
-    def _named(tag: str, attributes: str) -> bool:
+    def _furniture_words(tag: str, attributes: str) -> set[str]:
+        """Furniture words of a role, and of class and id tokens made of such words and places only."""
+        found: set[str] = set()
         if not attributes or tag in ("html", "body"):
-            return False
+            return found
         for name, *values in _ATTRIBUTE.findall(attributes):
-            words = {w.lower() for w in _NAME_PARTS.findall("".join(values))}
-            if words & (FURNITURE_ROLES if name.lower() == "role" else FURNITURE_WORDS):
-                return True
-        return False
+            role = name.lower() == "role"
+            if tag in ("article", "main") and not role:
+                continue
+            for token in "".join(values).split():
+                words = {w.lower() for w in _NAME_PARTS.findall(token)}
+                if role:
+                    found |= words & FURNITURE_ROLES
+                elif words <= FURNITURE_WORDS | PLACE_WORDS:
+                    found |= words & FURNITURE_WORDS
+        return found
 
     def _end_nearest(self, tags: set[str], stops: set[str]) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
@@ -190,19 +209,60 @@ class _Page:
                 return
 
 
-def _is_furniture(element: _Element, known: dict[int, bool]) -> bool:
-    """By its tag or name or those around it; a named element around the main element is none."""
+def _is_furniture(element: _Element, known: dict[_Element, bool], holding: set[_Element]) -> bool:
+    """By its tag or name or those around it; a form or named element that holds the text is none."""
     chain = []
-    while element is not None and id(element) not in known:
+    while element is not None and element not in known:
         chain.append(element)
         element = element.parent
-    inherited = known[id(element)] if element is not None else False
+    inherited = known[element] if element is not None else False
     for e in reversed(chain):
-        inherited = inherited or e.furniture or (e.by_name and not e.holds_main)
-        known[id(e)] = inherited
+        exempt = e.holds_main or e in holding
+        tagged = e.furniture and not (e.tag == "form" and exempt)
+        inherited = inherited or tagged or (e.by_name and not exempt)
+        known[e] = inherited
     return inherited
 
 
+def _unlinked(text: str, link_chars: int) -> int:
+    return max(0, len(text) - link_chars)
+
+
+def _holding_most(blocks: list[tuple[_Element, str, int]]) -> set[_Element]:
+    """Elements with more than half of the unlinked text, where no main element has any.
+
+    Each element hands its sum on to its parent, the latest started first, so every element is met once.
+    """
+    if any(e.main and _unlinked(t, n) for e, t, n in blocks):
+        return set()
+    below: dict[_Element, int] = {}
+    for e, t, n in blocks:
+        below[e] = below.get(e, 0) + _unlinked(t, n)
+    levels: dict[int, set[_Element]] = {}
+    seen: dict[_Element, int] = {}
+
+    def depth(e: _Element) -> int:
+        chain = []
+        while e is not None and e not in seen:
+            chain.append(e)
+            e = e.parent
+        at = seen[e] if e is not None else -1
+        for x in reversed(chain):
+            at += 1
+            seen[x] = at
+            levels.setdefault(at, set()).add(x)
+        return at
+
+    for e in list(below):
+        depth(e)
+    for level in sorted(levels, reverse=True):
+        for e in levels[level]:
+            if e.parent is not None:
+                below[e.parent] = below.get(e.parent, 0) + below.get(e, 0)
+    total = sum(_unlinked(t, n) for _, t, n in blocks)
+    return {e for e, n in below.items() if 2 * n > total and not e.by_readers}
+
+
 def blocks_of(page: str) -> list[Block]:
     reader, at = _Page(), 0
     while at < len(page):
@@ -224,8 +284,9 @@ def blocks_of(page: str) -> list[Block]:
             close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
             at = close.start() if close else len(page)
     reader.flush()
-    known: dict[int, bool] = {}
-    return [Block(e.path, t, n, _is_furniture(e, known), e.main) for e, t, n in reader.blocks]
+    known: dict[_Element, bool] = {}
+    holding = _holding_most(reader.blocks)
+    return [Block(e.path, t, n, _is_furniture(e, known, holding), e.main) for e, t, n in reader.blocks]
 
 
 def _smoothed(values: np.ndarray) -> np.ndarray:
@@ -238,7 +299,7 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
 
 def content(blocks: list[Block]) -> list[Block]:
     """The blocks of the paths whose fused score reaches the share of the best one."""
-    blocks = [b for b in blocks if not b.furniture]
+    blocks = [b for b in blocks if not b.furniture] or blocks
     if not blocks:
         return []
     # A path inside the main element and the same path outside it are two.

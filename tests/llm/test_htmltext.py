@@ -30,6 +30,15 @@ PAGES = {
         f'<body><div class="content-with-sidebar"><main><p>{BODY}</p></main></div>',
         BODY.strip(),
     ),
+    "class words of the main element": (f"<body><main class='with-sidebar'><p>{BODY}</p></main>", BODY.strip()),
+    "class words of an article": (f"<article class='post category-social'><p>{BODY}</p></article>", BODY.strip()),
+    "class of a page without main element": (f"<div id='page' class='has-sidebar'><p>{BODY}</p></div>", BODY.strip()),
+    "named wrapper of most text": (
+        f"<div class='sidebar-left'><p>{BODY}</p></div><div class='site-footer'>A footer, here.</div>", BODY.strip()
+    ),
+    "form round the page": (f"<body><form action=x><div><p>{BODY}</p></div></form></body>", BODY.strip()),
+    "form round an article": (f"<form><article><p>{BODY}</p></article><nav>Menu, here.</nav></form>", BODY.strip()),
+    "all furniture": (f"<aside><p>{BODY}</p></aside>", BODY.strip()),
     "cut inside a tag": (f"<article><p>{BODY}</p><p cla", BODY.strip()),
     "cut inside a script": (f"<article><p>{BODY}</p><script>var x", BODY.strip()),
 }

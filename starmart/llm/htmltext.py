@@ -3,7 +3,9 @@
 A page becomes a row of text blocks, each with its tag path from the root. Per path, the text outside
 links and the sentence punctuation are summed and divided by the path's blocks. Both ratios, written
 along the page, are smoothed with a Gaussian, fused into one score with the path's share of unlinked text,
-averaged over each path's blocks and held against a share of the best path. Blocks of the paths above it are the text.
+averaged over each path's blocks and held against a share of the best path. The paths above it find the
+content: with them stays every other block of the main element or, on pages without one, of the smallest
+element round them; where that is the whole page, every block from the first of them to the last.
 
 Paths inside the page's main element weigh double; paths through page furniture (menus, headers and
 footers of the page, forms, adverts, notices, reader comments, told by tag, role or class) weigh
@@ -85,6 +87,7 @@ class Block:
     link_chars: int
     furniture: bool
     main: bool
+    element: _Element
 
 
 @dataclass(eq=False)
@@ -286,7 +289,7 @@ def blocks_of(page: str) -> list[Block]:
     reader.flush()
     known: dict[_Element, bool] = {}
     holding = _holding_most(reader.blocks)
-    return [Block(e.path, t, n, _is_furniture(e, known, holding), e.main) for e, t, n in reader.blocks]
+    return [Block(e.path, t, n, _is_furniture(e, known, holding), e.main, e) for e, t, n in reader.blocks]
 
 
 def _smoothed(values: np.ndarray) -> np.ndarray:
@@ -297,8 +300,50 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(values, SMOOTHING)[near] / weight
 
 
+def _root(chosen: list[Block]) -> _Element:
+    """The smallest element round all chosen blocks."""
+    above = {}  # the elements round the first block, by their place from the inside
+    element = chosen[0].element
+    while element is not None:
+        above[element] = len(above)
+        element = element.parent
+    root, cleared = chosen[0].element, set()
+    for b in chosen:
+        e = b.element
+        while e not in above and e not in cleared:
+            cleared.add(e)
+            e = e.parent
+        if e in above and above[e] > above[root]:
+            root = e
+    return root
+
+
+def _below(element: _Element, root: _Element, known: dict[_Element, bool]) -> bool:
+    chain = []
+    while element is not None and element is not root and element not in known:
+        chain.append(element)
+        element = element.parent
+    inside = element is root or (element is not None and known[element])
+    known.update(dict.fromkeys(chain, inside))
+    return inside
+
+
+def _with_surroundings(blocks: list[Block], chosen: np.ndarray) -> list[Block]:
+    """The chosen blocks and the others of the element that holds them."""
+    best = [b for b, c in zip(blocks, chosen, strict=True) if c]
+    if not best:
+        return []
+    if any(b.main for b in best):
+        return [b for b, c in zip(blocks, chosen, strict=True) if c or b.main]
+    root, known = _root(best), {}
+    if root.tag in ("", "html", "body"):
+        first, last = np.flatnonzero(chosen)[[0, -1]]
+        return blocks[first : last + 1]
+    return [b for b in blocks if _below(b.element, root, known)]
+
+
 def content(blocks: list[Block]) -> list[Block]:
-    """The blocks of the paths whose fused score reaches the share of the best one."""
+    """The blocks of the paths whose fused score reaches the share of the best one, and those around them."""
     blocks = [b for b in blocks if not b.furniture] or blocks
     if not blocks:
         return []
@@ -314,7 +359,7 @@ def content(blocks: list[Block]) -> list[Block]:
     fused = weight * np.log1p(length) * (1 + 0.1 * np.log1p(points))
     score = np.bincount(path, fused) / number
     chosen = (score >= SHARE * score.max()) & (score > 0)
-    return [b for b, p in zip(blocks, path, strict=True) if chosen[p]]
+    return _with_surroundings(blocks, chosen[path])
 
 
 def main_text(page: str | None) -> str:

@@ -39,6 +39,18 @@ PAGES = {
     "form round the page": (f"<body><form action=x><div><p>{BODY}</p></div></form></body>", BODY.strip()),
     "form round an article": (f"<form><article><p>{BODY}</p></article><nav>Menu, here.</nav></form>", BODY.strip()),
     "all furniture": (f"<aside><p>{BODY}</p></aside>", BODY.strip()),
+    **{
+        f"{name} between long paragraphs": (
+            f"{start}{f'<p>{BODY * 6}</p>' * 6}{middle}{f'<p>{BODY * 6}</p>' * 6}{end}",
+            "\n".join([(BODY * 6).strip()] * 6 + lines + [(BODY * 6).strip()] * 6),
+        )
+        for start, end in (("<article>", "</article>"), ("<body><div>", "</div>"), ("<body>", "</body>"))
+        for name, middle, lines in (
+            (f"list in {start}", "<ul>" + "<li>an item" * 10 + "</ul>", ["an item"] * 10),
+            (f"links in {start}", "<ul>" + "<li><a href=x>a link</a>" * 9 + "</ul>", ["a link"] * 9),
+            (f"table in {start}", "<table><tr><td>a<td>b</table>", ["a", "b"]),
+        )
+    },
     "cut inside a tag": (f"<article><p>{BODY}</p><p cla", BODY.strip()),
     "cut inside a script": (f"<article><p>{BODY}</p><script>var x", BODY.strip()),
 }

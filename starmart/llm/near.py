@@ -1,6 +1,7 @@
 """Near duplicates: documents whose five-word shingle sets have a Jaccard likeness of 0.75 or more.
 
-Every pair at or above the likeness is found. The steps, each over all documents:
+The components are those of all pairs at or above the likeness; pairs inside a component that is already
+known are not verified, and links are not counted or returned. The steps, each over all documents:
 
 1. Equal sets become one node, named by a digest of the set.
 2. Shingles that many documents have are found by counting (``hot_shingles``); they only move to the end

@@ -137,9 +137,37 @@ SELECT t.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
 FROM texts t LEFT JOIN listed l ON l.doc_id = t.doc_id
 """
 
+_TERMS = (
+    "unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"
+)
+
+OP11 = f"""
+WITH counted AS (
+    SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} FROM documents) GROUP BY doc_id, term
+), sizes AS (
+    SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY doc_id
+), corpus AS (
+    SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM sizes
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * documents + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM counted GROUP BY term) CROSS JOIN corpus
+), shares AS (
+    SELECT doc_id, 10 + (90 * n * documents) // length AS m FROM sizes CROSS JOIN corpus
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM (SELECT DISTINCT item_id, {_TERMS} FROM benchmark) JOIN counted USING (term)
+    JOIN weights USING (term) JOIN shares USING (doc_id)
+    GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op2_ngram_join": OP2,
     "op4_url_filter": OP4,
     "op5_quality_rules": OP5,
     "op10_pii": OP10,
+    "op11_lexical_search": OP11,
 }

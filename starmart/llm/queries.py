@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import bpe, chat, htmltext, langid, lz, mixing, near, pii, quality, urlfilter
+from starmart.llm import acsearch, bpe, chat, htmltext, langid, lz, mixing, near, pii, quality, urlfilter
 from starmart.llm.common import shuffle_partitions, table
 from starmart.sources import paths
 
@@ -97,6 +97,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return acsearch.search(docs, items, k=10)
+
+
 QUERIES = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
     "op2_ngram_join": op2_ngram_join,
@@ -108,4 +113,5 @@ QUERIES = {
     "op8_chat_repair": op8_chat_repair,
     "op9_language": op9_language,
     "op10_pii": op10_pii,
+    "op11_lexical_search": op11_lexical_search,
 }

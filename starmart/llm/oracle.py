@@ -164,10 +164,23 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM scored WHERE score > 0 QUALIFY rank <= 10
 """
 
+OP12 = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), held AS (
+    SELECT payload_digest, max(page_id) AS held_by FROM payloads WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+    CASE WHEN held_by IS DISTINCT FROM page_id AND held_by IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN held_by IS DISTINCT FROM page_id THEN held_by END AS refers_to
+FROM payloads p LEFT JOIN held h ON h.payload_digest = p.payload_digest AND p.payload_bytes >= 1000
+"""
+
 ORACLE: dict[str, str] = {
     "op2_ngram_join": OP2,
     "op4_url_filter": OP4,
     "op5_quality_rules": OP5,
     "op10_pii": OP10,
     "op11_lexical_search": OP11,
+    "op12_warc": OP12,
 }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import acsearch, bpe, chat, htmltext, langid, lz, mixing, near, pii, quality, urlfilter
+from starmart.llm import (
+    acsearch,
+    bpe,
+    chat,
+    htmltext,
+    langid,
+    lz,
+    mixing,
+    near,
+    pii,
+    quality,
+    urlfilter,
+    warc,
+    whitening,
+)
 from starmart.llm.common import shuffle_partitions, table
 from starmart.sources import paths
 
@@ -102,6 +116,19 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acsearch.search(docs, items, k=10)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    index, archives = warc.archived(pages)
+    found = warc.look_up(index, pages, "url", "page_id")
+    return warc.read_records(found, archives, payloads=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=4)
+
+
 QUERIES = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
     "op2_ngram_join": op2_ngram_join,
@@ -114,4 +141,6 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_pii": op10_pii,
     "op11_lexical_search": op11_lexical_search,
+    "op12_warc": op12_warc,
+    "op13_whitening": op13_whitening,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from starmart.driver.adapters import REPORT_YEAR
-from starmart.driver.queries import INCREMENT_PERIODS, PROFILED, SECOND_DELIVERY_YEAR
+from starmart.driver.queries import BAD_MONTH, PROFILED, SECOND_DELIVERY_YEAR
 from starmart.plans.marts import REPORT_ATTRIBUTES
 from starmart.schemas import KEPT_COLUMNS, RAW_ARRIVALS
 
@@ -262,10 +262,6 @@ def _dims_nonempty() -> str:
     )
 
 
-def _periods() -> str:
-    return " OR ".join(f"(Year = {y} AND Month = {m})" for y, m in INCREMENT_PERIODS)
-
-
 KEPT = ", ".join(KEPT_COLUMNS)
 
 ORACLE: dict[str, str] = {
@@ -452,18 +448,25 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'genders', * FROM (VALUES ('M'), ('F'), ('X'), ('U'))
         UNION ALL SELECT 'agegroups', * FROM (VALUES ('1'), ('2'), ('3'), ('4'), ('5'))""",
     "monthly_increment": FACT,
-    "refused_load": f"""{WITH_FACT}
-        SELECT 'refused' AS step, 'period_matches' AS failed, count(*) AS fact_rows,
-               count(DISTINCT Monthly_Time) AS registered
-        FROM fact WHERE Year <= {INCREMENT_PERIODS[0][0]}
-        UNION ALL SELECT 'forced', 'none', count(*), count(DISTINCT Monthly_Time)
-        FROM fact WHERE Year <= {INCREMENT_PERIODS[0][0]} OR {_periods()}""",
-    "arriving_periods": f"{WITH_FACT} SELECT * FROM fact WHERE {_periods()}",
+    "refused_load": f"""{WITH_FACT}, months AS (
+            SELECT DISTINCT Year, Month FROM fact),
+        earlier AS (
+            SELECT fact.* FROM fact ANTI JOIN (
+                SELECT * FROM months ORDER BY Year DESC, Month DESC LIMIT 2) USING (Year, Month)),
+        counts AS (
+            SELECT count(*) AS fact_rows, count(DISTINCT Monthly_Time) AS registered FROM earlier)
+        SELECT 'mixed' AS step, 'period_matches' AS failed, * FROM counts
+        UNION ALL SELECT 'idle', 'fact_grew', * FROM counts
+        UNION ALL SELECT 'corrected', 'none', count(*), count(DISTINCT Monthly_Time) FROM fact""",
+    "arriving_periods": f"""{WITH_FACT}
+        SELECT * FROM fact WHERE Year <> {BAD_MONTH[0]} OR Month <> {BAD_MONTH[1]}""",
     "bootstrap_from_files": f"""{WITH_MART}
         SELECT 'airports' AS stored_in, airport_code AS key FROM airports
         UNION ALL SELECT 'airlines', airline_code FROM airlines
-        UNION ALL SELECT 'immigrationfacts', CICID FROM fact
-        WHERE Year = {INCREMENT_PERIODS[0][0]} AND Month = {INCREMENT_PERIODS[0][1]}""",
+        UNION ALL SELECT 'immigrationfacts', CICID FROM fact""",
+    "restated_period": f"""{WITH_FACT}
+        SELECT * REPLACE (CASE WHEN Year = {BAD_MONTH[0]} AND Month = {BAD_MONTH[1]} THEN 'X' ELSE Gender END AS Gender)
+        FROM fact WHERE NOT (Year = {BAD_MONTH[0]} AND Month = {BAD_MONTH[1]} AND CAST(CICID AS BIGINT) % 3 = 0)""",
     "fact_from_lineitem": _fact(LINES),
     "keyless_lines": f"WITH arr AS ({LINES}) "
     + " UNION ALL ".join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.config import REQUIRED_FIELDS
@@ -33,7 +33,7 @@ from starmart.plans import fact as fact_plan
 from starmart.plans import jobs, marts, quality
 from starmart.schemas import DIMENSIONS, FACT_TABLE, KEPT_COLUMNS, PERIOD_DIMENSIONS, key_of
 from starmart.session import scratch_path
-from starmart.sources import landing
+from starmart.sources import landing, paths
 from starmart.sources.dimension_files import read_airports
 from starmart.sources.raw import kept, raw_file_name, read_raw
 from starmart.sources.warehouse import Warehouse
@@ -44,7 +44,7 @@ QUERIES: dict[str, Query] = {}
 
 PROFILED = ("gender", "airline", "visatype", "i94port", "fltno")
 SECOND_DELIVERY_YEAR = 1998
-INCREMENT_PERIODS = ((1997, 12), (1998, 1))
+BAD_MONTH = (1995, 6)
 
 
 def registered(query: Query) -> Query:
@@ -509,8 +509,28 @@ def _deliver(job: jobs.MartJob, rows: DataFrame, year: int, month: int) -> None:
     rows.write.mode("overwrite").option("header", True).csv(target)
 
 
-def _of_period(rows: DataFrame, year: int, month: int) -> DataFrame:
-    return rows.filter(filters.in_period("i94yr", "i94mon", F.lit(year), F.lit(month)))
+def _deliver_all(job: jobs.MartJob, rows: DataFrame) -> None:
+    """Write the raw files of all months in rows, one folder of parts each, in one pass."""
+    year, month = (F.col(c).cast("int").cast("string") for c in ("i94yr", "i94mon"))
+    name = F.concat(F.lit("F_"), month, F.lit("_"), year, F.lit(".csv"))
+    folder = f"{job.incoming}-written"
+    named = rows.withColumn("delivery", name).repartition("delivery")
+    named.write.partitionBy("delivery").option("header", True).csv(folder)
+    for written in paths.names_in(job.spark, folder):
+        if written.startswith("delivery="):
+            target = f"{job.incoming}/{written.removeprefix('delivery=')}"
+            paths.move(job.spark, f"{folder}/{written}", target)
+            paths.mark_complete(job.spark, target)
+
+
+def _last_months(spark: SparkSession, sf_dir: str, n: int = 1) -> list[jobs.Period]:
+    """The last months with fact rows, the latest one last."""
+    months = _fact(spark, sf_dir).select("Year", "Month").distinct()
+    return [(r.Year, r.Month) for r in months.orderBy(F.desc("Year"), F.desc("Month")).limit(n).collect()][::-1]
+
+
+def _is_month(period: jobs.Period) -> Column:
+    return filters.in_period("i94yr", "i94mon", F.lit(period[0]), F.lit(period[1]))
 
 
 @registered
@@ -519,7 +539,7 @@ def monthly_increment(spark, sf_dir):
     job = _prepared_mart(spark, sf_dir)
     year, month = F.col("Year").alias("year"), F.col("Month").alias("month_num")
     last = summaries.latest_period(_fact(spark, sf_dir).select(year, month), "year", "month_num").first()
-    last_month = filters.in_period("i94yr", "i94mon", F.lit(last["year"]), F.lit(last["month_num"]))
+    last_month = _is_month((last["year"], last["month_num"]))
     earlier = ad.arrivals(spark, sf_dir).filter(~last_month)
     jobs.load_batch(job.warehouse, _with_load_period(earlier), job.config)
     _deliver(job, ad.raw_arrivals(spark, sf_dir).filter(last_month), last["year"], last["month_num"])
@@ -529,60 +549,76 @@ def monthly_increment(spark, sf_dir):
 
 @registered
 def refused_load(spark, sf_dir):
-    """A month delivered with rows of the next one is refused; the corrected file then loads."""
-    job = _prepared_mart(spark, sf_dir)
-    (year, month), following = INCREMENT_PERIODS
-    first = ad.arrivals(spark, sf_dir).filter(F.col("i94yr") <= year)
-    jobs.load_batch(job.warehouse, _with_load_period(first), job.config)
-    raw = ad.raw_arrivals(spark, sf_dir)
-
-    def state(step: str, failed: str) -> DataFrame:
-        fact, register = job.warehouse.read(FACT_TABLE), job.warehouse.read("monthlytimes")
-        return fact.agg(F.count(F.lit(1)).alias("fact_rows")).crossJoin(
-            register.agg(F.count(F.lit(1)).alias("registered"))
-        ).select(F.lit(step).alias("step"), F.lit(failed).alias("failed"), "fact_rows", "registered")
+    """All months but two are loaded; then the last two come, in batches that are refused, and corrected.
 
-    _deliver(job, raw.filter(F.col("i94yr") == following[0]), *following)
-    try:
-        jobs.advance(job)
-        failed = "none"
-    except quality.QualityError as error:
-        failed = str(error).split(":")[0]
-    refused = [row.asDict() for row in state("refused", failed).collect()][0]
-    _deliver(job, _of_period(raw, *following), *following)
-    jobs.advance(job, force=True)
-    before = quality.literal_rows(spark, [{k: F.lit(v) for k, v in refused.items()}])
-    columns = ["step", "failed", F.col("fact_rows").cast("long"), F.col("registered").cast("long")]
-    return before.select(*columns).union(state("forced", "none"))
+    First the rows of the last month are labelled as of the month before, then the last month repeats
+    numbers of a loaded month and so adds nothing. Each time fact and register stay as they were.
+    """
+    job = _prepared_mart(spark, sf_dir)
+    loaded, before, last = _last_months(spark, sf_dir, 3)
+    arrivals = ad.arrivals(spark, sf_dir)
+    two = _is_month(before) | _is_month(last)
+    jobs.load_batch(job.warehouse, _with_load_period(arrivals.filter(~two)), job.config)
+    late = arrivals.filter(two)
+    mixed = late.withColumns({"load_year": F.lit(before[0]), "load_month": F.lit(before[1])})
+    relabelled = {"i94yr": F.lit(float(last[0])), "i94mon": F.lit(float(last[1]))}
+    known = arrivals.filter(_is_month(loaded)).withColumns(relabelled)
+    repeated = late.filter(_is_month(before)).unionByName(known)
+    steps = {"mixed": mixed, "idle": _with_load_period(repeated), "corrected": _with_load_period(late)}
+    states = []
+    for step, batch in steps.items():
+        try:
+            jobs.load_batch(job.warehouse, batch, job.config)
+            failed = "none"
+        except quality.QualityError as error:
+            failed = str(error).split(":")[0]
+        tables = {"fact_rows": FACT_TABLE, "registered": "monthlytimes"}
+        rows = [job.warehouse.read(table).select(F.lit(name).alias("of")) for name, table in tables.items()]
+        totals = reduce(DataFrame.unionAll, rows).agg(*(F.count_if(F.col("of") == n).alias(n) for n in tables)).first()
+        counts = {name: F.lit(n).cast("long") for name, n in totals.asDict().items()}
+        states.append({"step": F.lit(step), "failed": F.lit(failed), **counts})
+    return quality.literal_rows(spark, states)
 
 
 @registered
 def arriving_periods(spark, sf_dir):
-    """Two months that arrive one after the other, each loaded by a run over new files only."""
+    """The raw files of all months arrive at once, one of them with rows of another month; then one more.
+
+    The bad file is that of the middle month. It is put aside, the others are loaded.
+    """
     job = _prepared_mart(spark, sf_dir)
     raw = ad.raw_arrivals(spark, sf_dir)
+    last = _last_months(spark, sf_dir)[-1]
     checkpoint = job.warehouse.scratch("arrivals")
-    for period in INCREMENT_PERIODS:
-        _deliver(job, _of_period(raw, *period), *period)
-        run = load_arriving(spark, job.incoming, checkpoint, job.warehouse, job.config)
-        run.awaitTermination()
-        if run.exception():
-            raise run.exception()
+    _deliver_all(job, raw.filter(~_is_month(last)))
+    _deliver(job, raw.filter(_is_month(BAD_MONTH) | _is_month(last)), *BAD_MONTH)
+    _run_arrivals(job, checkpoint)
+    _deliver(job, raw.filter(_is_month(last)), *last)
+    _run_arrivals(job, checkpoint)
     return job.warehouse.read(FACT_TABLE)
 
 
+def _run_arrivals(job: jobs.MartJob, checkpoint: str) -> None:
+    run = load_arriving(job, checkpoint)
+    run.awaitTermination()
+    if run.exception():
+        raise run.exception()
+
+
 @registered
 def bootstrap_from_files(spark, sf_dir):
-    """A first run from an airport CSV, airlines as JSON Lines and the raw file of a month."""
+    """A first run from an airport CSV, airlines as JSON Lines and the raw file of a month; the other months follow."""
     root = scratch_path(spark, "bootstrap")
     job = jobs.MartJob(
         spark, f"{root}/incoming", f"{root}/landed", Warehouse(spark, f"{root}/warehouse"), ad.ORDERS_CONFIG
     )
-    period = INCREMENT_PERIODS[0]
-    _deliver(job, _of_period(ad.raw_arrivals(spark, sf_dir), *period), *period)
+    raw = ad.raw_arrivals(spark, sf_dir)
+    first = raw.agg(F.min(F.struct(F.col("i94yr").cast("int"), F.col("i94mon").cast("int")))).first()[0]
+    _deliver_all(job, raw)
     ad.port_source(spark, sf_dir).write.option("header", True).csv(f"{root}/airports.csv")
     ad.carrier_source(spark, sf_dir).write.json(f"{root}/airlines.json")
-    jobs.bootstrap(job, f"{root}/airports.csv", f"{root}/airlines.json", *period)
+    jobs.bootstrap(job, f"{root}/airports.csv", f"{root}/airlines.json", *first)
+    _run_arrivals(job, f"{root}/arrivals")
     keys = [
         job.warehouse.read(name).select(F.lit(name).alias("stored_in"), F.col(key_of(name)).alias("key"))
         for name in ("airports", "airlines", FACT_TABLE)
@@ -590,6 +626,17 @@ def bootstrap_from_files(spark, sf_dir):
     return reduce(DataFrame.unionByName, keys)
 
 
+@registered
+def restated_period(spark, sf_dir):
+    """All months are loaded; then a corrected file of one replaces it, without every third arrival and with other genders."""
+    job = _prepared_mart(spark, sf_dir)
+    jobs.load_batch(job.warehouse, _with_load_period(ad.arrivals(spark, sf_dir)), job.config)
+    corrected = ad.raw_arrivals(spark, sf_dir).filter(_is_month(BAD_MONTH) & (F.col("cicid") % 3 != 0))
+    _deliver(job, corrected.withColumn("gender", F.lit("X")), *BAD_MONTH)
+    jobs.restate_period(job, *BAD_MONTH)
+    return job.warehouse.read(FACT_TABLE)
+
+
 @registered
 def fact_from_lineitem(spark, sf_dir):
     """Fact rows of arrivals whose number repeats or is missing, some of unknown day and age."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +38,13 @@ def cleaning_steps(config: MartConfig) -> dict[str, Column]:
     }
 
 
-def clean_arrivals(arrivals: DataFrame, airports: DataFrame, config: MartConfig) -> DataFrame:
+def clean_arrivals(
+    arrivals: DataFrame, airports: DataFrame, config: MartConfig, within: Sequence[str] = ()
+) -> DataFrame:
     """Qualifying arrivals at home airports with the municipality, one row per arrival number.
 
+    ``within`` names columns that keep their arrivals apart: one row per number in each of them.
+
     Predicates and the airport join come first, so only rows that stay are shuffled to find
     duplicates. The key is the number as the fact stores it, so numbers that are stored alike are
     one; a number that gives no key cannot be one, so such rows are left out.
@@ -49,7 +55,7 @@ def clean_arrivals(arrivals: DataFrame, airports: DataFrame, config: MartConfig)
     rows = rows.withColumn("_stored_key", key_text(F.col("cicid"))).filter(F.col("_stored_key").isNotNull())
     city = {"municipality": "Airport_Municipality"}
     at_home = look_up(rows, "i94port", airports, "airport_code", city)
-    return first_per_key(at_home, ["_stored_key"], SURVIVOR_ORDER).drop("_stored_key")
+    return first_per_key(at_home, [*within, "_stored_key"], SURVIVOR_ORDER).drop("_stored_key")
 
 
 def load_step_counts(
@@ -87,9 +93,11 @@ def derive(cleaned: DataFrame, config: MartConfig) -> DataFrame:
     return cleaned.select(*(value.alias(name) for name, value in fact.items()), *others)
 
 
-def fact_rows(arrivals: DataFrame, airports: DataFrame, config: MartConfig) -> DataFrame:
+def fact_rows(
+    arrivals: DataFrame, airports: DataFrame, config: MartConfig, within: Sequence[str] = ()
+) -> DataFrame:
     """The fact's 14 columns, followed by columns of the input that are not raw ones."""
-    derived = derive(clean_arrivals(arrivals, airports, config), config)
+    derived = derive(clean_arrivals(arrivals, airports, config, within), config)
     return derived.select(*FACT_COLUMNS, *(c for c in derived.columns if c not in FACT_COLUMNS))
 
 

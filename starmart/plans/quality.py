@@ -33,8 +33,8 @@ def _check(name: str, severity: str, passed: Column, observed: Column, expected:
     )
 
 
-def _rows(totals: DataFrame, checks: Sequence[Column]) -> DataFrame:
-    return totals.select(F.inline(F.array(*checks)))
+def _rows(totals: DataFrame, checks: Sequence[Column], *keep: str) -> DataFrame:
+    return totals.select(*keep, F.inline(F.array(*checks)))
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
@@ -130,8 +130,16 @@ def _batch_rows(columns: int) -> list[Column]:
     ]
 
 
-def batch_report(totals: DataFrame, columns: int) -> DataFrame:
-    return _rows(totals, _batch_rows(columns))
+def batch_report(totals: DataFrame, columns: int, *keep: str) -> DataFrame:
+    """The checks for each row of totals, which keeps its columns ``keep``."""
+    return _rows(totals, _batch_rows(columns), *keep)
+
+
+def period_reports(batch: DataFrame, year: str = "load_year", month: str = "load_month") -> DataFrame:
+    """The checks of a batch for each of its periods, in one pass over it."""
+    columns = len([c for c in batch.columns if c not in (year, month)])
+    totals = batch.groupBy(year, month).agg(*(m.alias(name) for name, m in batch_metrics(year, month).items()))
+    return batch_report(totals, columns, year, month)
 
 
 def batch_checks(batch: DataFrame, year: str = "load_year", month: str = "load_month") -> DataFrame:
@@ -159,6 +167,11 @@ def batch_and_key_checks(
     return _rows(totals, [*_batch_rows(columns), _key_row()])
 
 
+def repeated_keys_check(spark: SparkSession, repeated: int) -> DataFrame:
+    """The key occurs once, for keys that were counted elsewhere."""
+    return _rows(measured(spark, {"keys": repeated}, ["keys"]), [_key_row()])
+
+
 def key_checks(batch: DataFrame, key: str = "CICID") -> DataFrame:
     """The key occurs once. Only that column is shuffled, counted per task before."""
     repeated = (
@@ -209,6 +222,15 @@ def union(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def failed_by_period(report: DataFrame, year: str = "load_year", month: str = "load_month") -> dict[tuple, str]:
+    """Why each period failed, for those that did; a period has some ten checks."""
+    failed: dict[tuple, list[str]] = {}
+    for row in report.filter(~F.col("passed") & (F.col("severity") == ERROR)).orderBy("check_name").collect():
+        text = f"{row.check_name}: {row.observed}, expected {row.expected}"
+        failed.setdefault((row[year], row[month]), []).append(text)
+    return {period: "; ".join(texts) for period, texts in failed.items()}
+
+
 def enforce(report: DataFrame) -> None:
     """Log failed warnings and raise on failed errors. A report has some twenty rows."""
     failed = {ERROR: [], WARNING: []}

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from starmart.schemas import RAW_ARRIVALS
 from starmart.sources import paths
-from starmart.sources.raw import CORRUPT, raw_file_name, raw_schema, read_raw
+from starmart.sources.raw import CORRUPT, file_period, raw_file_name, raw_schema, read_files, read_raw
 
 
 class SourceMissing(FileNotFoundError):
@@ -48,6 +51,43 @@ def land(
     return dict(seen.get)
 
 
+def state_of_delivery(spark: SparkSession, incoming: str, year: int, month: int) -> str:
+    """``ready``, ``missing``, or ``incomplete`` for a folder of parts without the mark that it is whole."""
+    source = f"{incoming}/{raw_file_name(year, month)}"
+    if not paths.exists(spark, source):
+        return "missing"
+    whole = not paths.is_folder(spark, source) or paths.is_complete(spark, source)
+    return "ready" if whole else "incomplete"
+
+
+def land_all(spark: SparkSession, incoming: str, root: str, periods: Iterable[tuple[int, int]]) -> None:
+    """Write the raw files of many periods to the landing area in one pass; those landed are left.
+
+    All have to be ready. A period's folder gets its mark after the write, so one that was stopped is
+    written again; a period without rows has a folder without files.
+    """
+    due = [p for p in sorted(set(periods)) if not paths.is_complete(spark, landed_path(root, *p))]
+    if not due:
+        return
+    year, month = file_period()
+    rows = read_files(spark, [f"{incoming}/{raw_file_name(y, m)}" for y, m in due])
+    rows = rows.withColumns({"year": year, "month": month}).hint("rebalance", "year", "month")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("year", "month").parquet(root)
+    for period in due:
+        paths.make_folder(spark, landed_path(root, *period))
+        paths.mark_complete(spark, landed_path(root, *period))
+
+
+def read_landed_periods(
+    spark: SparkSession, root: str, periods: Iterable[tuple[int, int]]
+) -> DataFrame:
+    """The landed rows of some periods with the text of corrupt ones, and ``year`` and ``month``."""
+    schema = raw_schema().add("year", IntegerType()).add("month", IntegerType())
+    folders = [landed_path(root, *p) for p in sorted(set(periods))]
+    return spark.read.schema(schema).option("basePath", root).parquet(*folders)
+
+
 def read_landed(
     spark: SparkSession, root: str, year: int, month: int, corrupt: bool = False
 ) -> DataFrame:

@@ -25,6 +25,11 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    fs, mark = _file_system(spark, f"{path}/_SUCCESS")
+    fs.create(mark, True).close()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.mkdirs(hadoop_path)
@@ -43,3 +48,54 @@ def size_of(spark: SparkSession, *paths: str) -> int:
         if fs.exists(hadoop_path):
             total += fs.getContentSummary(hadoop_path).getLength()
     return total
+
+
+def files_in(spark: SparkSession, folder: str) -> list[str]:
+    """Data files below a folder, as paths relative to it; none if there is no such folder."""
+    fs, hadoop_path = _file_system(spark, folder)
+    if not fs.exists(hadoop_path):
+        return []
+    root = fs.makeQualified(hadoop_path).toUri().getPath().rstrip("/") + "/"
+    found, listed = [], fs.listFiles(hadoop_path, True)
+    while listed.hasNext():
+        name = listed.next().getPath().toUri().getPath().removeprefix(root)
+        if not any(part.startswith(("_", ".")) for part in name.split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly in a folder; none if there is no such folder."""
+    fs, hadoop_path = _file_system(spark, folder)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the folder above the target is made, the target must not exist."""
+    fs, source_path = _file_system(spark, source)
+    target_path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(target_path.getParent())
+    if fs.exists(target_path) or not fs.rename(source_path, target_path):
+        raise OSError(f"{source} cannot be moved to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in place as a whole or not at all."""
+    fs, hadoop_path = _file_system(spark, f"{path}.part")
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    move(spark, f"{path}.part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -20,6 +22,12 @@ def raw_file_name(year: int, month: int) -> str:
     return RAW_FILE_NAME.format(month=month, year=year)
 
 
+def raw_file_period(name: str) -> tuple[int, int] | None:
+    """Year and month of a raw file's name."""
+    match = re.fullmatch(RAW_FILE_PATTERN, name)
+    return (int(match[2]), int(match[1])) if match else None
+
+
 def raw_schema() -> StructType:
     """The raw columns and one that receives the text of a row that does not fit them."""
     return StructType(list(RAW_ARRIVALS.fields)).add(CORRUPT, StringType(), True)
@@ -41,6 +49,11 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(raw_schema()).options(**csv_options()).csv(path)
 
 
+def read_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Several raw files, or folders of parts, whose headers are each checked."""
+    return spark.read.schema(raw_schema()).options(**csv_options()).csv(files)
+
+
 def kept(frame: DataFrame) -> DataFrame:
     """The columns the fact is built from."""
     return frame.select(*KEPT_COLUMNS)

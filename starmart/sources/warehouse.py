@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators.insert import absent_rows
 from starmart.schemas import FACT_PARTITIONS, FACT_TABLE, TABLES, key_of
-from starmart.sources import paths
+from starmart.sources import paths, publish
+from starmart.sources.keys import KeyLog
 
 
 class Warehouse:
@@ -31,8 +32,7 @@ class Warehouse:
 
     def has_period(self, year: int, month: int) -> bool:
         """Whether the fact has rows of a period, told by its partition folder."""
-        of_year, of_month = FACT_PARTITIONS
-        return paths.exists(self.spark, f"{self.path(FACT_TABLE)}/{of_year}={year}/{of_month}={month}")
+        return paths.exists(self.spark, self.period_path(year, month))
 
     def create(self, tables: Iterable[str] = tuple(TABLES)) -> None:
         """Create the tables that do not exist, without rows: a folder with a declared layout."""
@@ -41,10 +41,28 @@ class Warehouse:
                 paths.make_folder(self.spark, self.path(table))
 
     def drop(self, tables: Iterable[str] = tuple(TABLES)) -> None:
-        """Remove the tables that exist."""
+        """Remove the tables that exist; with the fact go its keys."""
+        self.finish()
         for table in tables:
             if self.exists(table):
                 paths.delete(self.spark, self.path(table))
+        if FACT_TABLE in tables and self.keys().exists():
+            self.keys().drop()
+
+    def finish(self) -> None:
+        """Carry out what a stopped job had begun to publish. Every job starts with this."""
+        publish.finish(self.spark, self.root)
+
+    def keys(self) -> KeyLog:
+        return KeyLog(self.spark, self.root)
+
+    def is_empty(self, table: str) -> bool:
+        """Whether a table has no data file yet."""
+        return not paths.files_in(self.spark, self.path(table))
+
+    def period_path(self, year: int, month: int) -> str:
+        of_year, of_month = FACT_PARTITIONS
+        return f"{self.path(FACT_TABLE)}/{of_year}={year}/{of_month}={month}"
 
     def read(self, table: str) -> DataFrame:
         """The whole table in its declared column order; unused columns and periods are pruned."""
@@ -57,7 +75,9 @@ class Warehouse:
         self._write(rows.select(*TABLES[table].fieldNames()), table)
 
     def insert_if_absent(self, table: str, rows: DataFrame, unique: bool = False) -> None:
-        self.append(table, absent_rows(rows, self.read(table), key_of(table), unique))
+        if not (unique and self.is_empty(table)):
+            rows = absent_rows(rows, self.read(table), key_of(table), unique)
+        self.append(table, rows)
 
     def count(self, table: str) -> int:
         return self.read(table).count()
@@ -69,10 +89,15 @@ class Warehouse:
                 self.read(table).createOrReplaceTempView(table)
 
     def _write(self, rows: DataFrame, table: str) -> None:
-        # Rebalancing gathers rows into files of the advisory size and splits large partitions
-        # over tasks, so many periods at once do not leave a file per task and period.
+        # Dimensions are written as they come from a shuffle, whose partitions Spark has merged by size.
+        writer = rows.write
         if table == FACT_TABLE:
-            writer = rows.hint("rebalance", *FACT_PARTITIONS).write.partitionBy(*FACT_PARTITIONS)
-        else:
-            writer = rows.hint("rebalance").write
+            writer = by_period(rows).write.partitionBy(*FACT_PARTITIONS)
         writer.mode("append").parquet(self.path(table))
+
+
+def by_period(rows: DataFrame) -> DataFrame:
+    """Fact rows gathered for writing: files of the advisory size, large periods split over tasks, so
+    many periods at once do not leave a file per task and period.
+    """
+    return rows.hint("rebalance", *FACT_PARTITIONS)

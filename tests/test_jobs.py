@@ -18,12 +18,15 @@ from rows import (
 from starmart.__main__ import main
 from starmart.config import MartConfig
 from starmart.plans import fact as fact_plan
+from starmart.operators.insert import absent_rows
 from starmart.plans import jobs, marts, quality
 from starmart.schemas import DIMENSIONS, FACT_COLUMNS, FACT_TABLE, TABLES
+from starmart.sources import keys as keys_module
+from starmart.sources import paths, publish
 from starmart.sources.landing import SourceMissing
 from starmart.sources.raw import raw_file_name
 from starmart.sources.warehouse import Warehouse
-from starmart.streaming.arrivals import load_arriving
+from starmart.streaming.arrivals import deliveries, load_arriving
 
 
 @pytest.fixture
@@ -326,22 +329,120 @@ def test_a_month_without_qualifying_rows_fails(place):
         jobs.advance(place.job)
 
 
-def test_a_load_stopped_before_the_register_moved_is_taken_up(place, monkeypatch):
-    place.deliver(2016, 1, ARRIVALS)
-    place.bootstrap(2016, 1)
-    place.deliver(2016, 2, [OTHER_PERIOD])
+@pytest.mark.parametrize("moves", range(6))
+def test_a_stopped_publication_is_finished(place, monkeypatch, moves):
+    """Whichever file it stopped at: fact, keys, year, month, register or the plan itself."""
+    place.deliver(2016, 12, [for_month(r, 2016, 12, r[0]) for r in ARRIVALS])
+    place.bootstrap(2016, 12)
+    place.deliver(2017, 1, [for_month(OTHER_PERIOD, 2017, 1, 13)])
+    plain, done = paths.move, []
 
-    def stop(*args, **kwargs):
-        raise RuntimeError("stopped")
+    def stopping(spark, source, target):
+        if "_changes" not in target or target.endswith(publish.DONE):
+            if len(done) == moves:
+                raise RuntimeError("stopped")
+            done.append(target)
+        plain(spark, source, target)
 
     with monkeypatch.context() as patch:
-        patch.setattr(quality, "growth_check", stop)
+        patch.setattr(paths, "move", stopping)
         with pytest.raises(RuntimeError):
             jobs.advance(place.job)
-    assert jobs.registered_period(place.warehouse) == (2016, 1)
-    assert jobs.advance(place.job) == (2016, 2, 0)
+    assert jobs.registered_period(place.warehouse) == (2017, 1)
     assert place.fact_ids() == sorted([*KEPT_IDS, "13"])
-    assert jobs.registered_period(place.warehouse) == (2016, 2)
+    known = place.warehouse.keys().known().collect()
+    assert sorted(r.CICID for r in known) == place.fact_ids()
+    assert jobs.load_period(place.job, 2017, 1) == 0
+    assert [place.warehouse.count(t) for t in ("years", "months", "monthlytimes")] == [2, 2, 2]
+
+
+def test_a_refused_batch_leaves_the_fact(spark, place):
+    """Two new months, of which one only has a known number: none is loaded, the corrected ones are."""
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+
+    def batch(*rows):
+        frame = spark.createDataFrame([for_month(ARRIVALS[0], *r) for r in rows], schema_of_kept())
+        return frame.withColumns({"load_year": F.lit(2016), "load_month": F.col("i94mon").cast("int")})
+
+    for _ in range(2):
+        with pytest.raises(quality.QualityError, match="fact_grew"):
+            jobs.load_batch(place.warehouse, batch((2016, 2, 1), (2016, 3, 70)), place.job.config)
+        assert place.fact_ids() == KEPT_IDS
+        assert place.warehouse.count("monthlytimes") == place.warehouse.count("months") == 1
+        assert place.warehouse.keys().known().count() == len(KEPT_IDS)
+    assert not any((pathlib.Path(place.warehouse.root) / "_scratch").iterdir())
+    assert jobs.load_batch(place.warehouse, batch((2016, 2, 71), (2016, 3, 70)), place.job.config) == 2
+    assert jobs.registered_period(place.warehouse) == (2016, 3)
+
+
+def test_the_history_of_keys_is_not_shuffled(spark, place, monkeypatch):
+    """Neither to find a key's state nor to join a batch beyond the broadcast bound with it."""
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    monkeypatch.setattr(keys_module, "fits_broadcast", lambda side: False)
+    batch = spark.createDataFrame([(str(i),) for i in range(5, 30)], "CICID string")
+    keys = place.warehouse.keys()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = absent_rows(batch, keys.known(among=batch), "CICID", unique=True)
+        assert sorted(int(r.CICID) for r in new.collect()) == [i for i in range(5, 30) if i not in (5, 6, 7, 8, 12)]
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "Scan parquet" in line)
+    above = [line for line in plan.splitlines()[: scan + 1]]
+    indent = len(above[scan].split("Scan")[0])
+    shuffled = [line for line in above if "Exchange" in line]
+    assert f"SelectedBucketsCount: {keys.buckets} out of {keys.buckets}" in plan
+    assert len(shuffled) == 1 and shuffled[0].index("Exchange") < indent
+    history = plan[plan.index("SortAggregate") if "SortAggregate" in plan else plan.index("HashAggregate") :]
+    assert "Exchange" not in history.split("Scan parquet")[0]
+
+
+def test_keys_of_an_older_warehouse(place):
+    """A fact that was loaded before there was a log gets one."""
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    place.warehouse.keys().drop()
+    place.deliver(2016, 2, [OTHER_PERIOD, for_month(OTHER_PERIOD, 2016, 2, 5)])
+    assert jobs.advance(place.job) == (2016, 2, 1)
+    assert place.warehouse.keys().known().count() == len(KEPT_IDS) + 1
+
+
+def files_of(place, year, month):
+    folder = pathlib.Path(place.warehouse.period_path(year, month))
+    return {f.name: f.read_bytes() for f in folder.glob("*.parquet")}
+
+
+def test_restating_a_month(place):
+    """The corrected file takes the month's place; numbers it no longer has may come with a later month."""
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    place.deliver(2016, 2, [for_month(OTHER_PERIOD, 2016, 2, n) for n in (13, 14, 15)])
+    jobs.advance(place.job)
+    others = files_of(place, 2016, 1)
+    changed = [(*for_month(OTHER_PERIOD, 2016, 2, n)[:6], "X", *OTHER_PERIOD[7:]) for n in (14, 16, 1)]
+    place.deliver(2016, 2, changed)
+    assert jobs.restate_period(place.job, 2016, 2) == 2
+    fact = {r.CICID: (r.Month, r.Gender) for r in place.warehouse.read(FACT_TABLE).collect()}
+    assert {k: v for k, v in fact.items() if v[0] == 2} == {"14": (2, "X"), "16": (2, "X")}
+    assert fact["1"] == (1, "F") and len(fact) == len(KEPT_IDS) + 2
+    assert files_of(place, 2016, 1) == others
+    place.deliver(2016, 3, [for_month(OTHER_PERIOD, 2016, 3, n) for n in (13, 14, 15, 16)])
+    assert jobs.advance(place.job) == (2016, 3, 2)
+    with pytest.raises(quality.QualityError, match="4_2016 is not loaded"):
+        jobs.restate_period(place.job, 2016, 4)
+
+
+def test_a_refused_restatement_leaves_the_month(place):
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    before = files_of(place, 2016, 1)
+    place.deliver(2016, 1, [OTHER_PERIOD])
+    with pytest.raises(quality.QualityError, match="period_matches"):
+        jobs.restate_period(place.job, 2016, 1)
+    assert files_of(place, 2016, 1) == before and place.warehouse.keys().known().count() == len(KEPT_IDS)
 
 
 def test_register_has_to_exist_and_have_rows(spark, tmp_path):
@@ -381,33 +482,71 @@ def test_reading_a_period_prunes_the_others(place):
     assert "ReadSchema: struct<Age:int>" in plan
 
 
-def test_arriving_files(spark, place, tmp_path):
-    place.deliver(2016, 1, ARRIVALS)
-    place.bootstrap(2016, 1)
-    checkpoint = str(tmp_path / "checkpoint")
+def arrive(place, checkpoint):
+    query = load_arriving(place.job, str(checkpoint))
+    assert query.awaitTermination(300)
+    if query.exception():
+        raise query.exception()
+    return {(r.year, r.month): (r.state, r.reason) for r in deliveries(place.warehouse).collect()}
 
-    def run():
-        query = load_arriving(spark, str(place.incoming), checkpoint, place.warehouse)
-        assert query.awaitTermination(300)
-        if query.exception():
-            raise query.exception()
 
-    run()
-    assert place.fact_ids() == KEPT_IDS
-    folder = place.incoming / raw_file_name(2016, 2)
+def parts_of(place, year, month):
+    folder = place.incoming / raw_file_name(year, month)
     folder.mkdir()
-    (folder / "_SUCCESS").touch()
+    return folder
+
+
+def test_arriving_files(place, tmp_path):
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    assert arrive(place, tmp_path / "checkpoint") == {(2016, 1): ("loaded", None)}
+    assert place.fact_ids() == KEPT_IDS
+    folder = parts_of(place, 2016, 2)
     write_raw(folder / "part-0.csv", [OTHER_PERIOD])
     write_raw(folder / "part-1.csv", [for_month(OTHER_PERIOD, 2016, 2, 14)])
+    (folder / "_SUCCESS").touch()
     place.deliver(2016, 3, [for_month(OTHER_PERIOD, 2016, 3, n) for n in (14, 15)])
-    run()
-    run()
+    arrive(place, tmp_path / "checkpoint")
+    arrive(place, tmp_path / "checkpoint")
     assert place.fact_ids() == sorted([*KEPT_IDS, "13", "14", "15"])
     assert jobs.registered_period(place.warehouse) == (2016, 3)
     first = place.warehouse.read(FACT_TABLE).filter("CICID = '14'").first()
     assert first.Month == 2
 
 
+def test_bad_files_do_not_hold_up_others(place, tmp_path):
+    """Of a month of other rows, one without header, one without new rows and one not whole, each is put aside
+    or waits; a corrected file of the same name loads with the next run."""
+    checkpoint = tmp_path / "checkpoint"
+    place.deliver(2016, 1, ARRIVALS)
+    place.bootstrap(2016, 1)
+    place.deliver(2016, 2, [OTHER_PERIOD, for_month(OTHER_PERIOD, 2016, 9, 30)])
+    (place.incoming / raw_file_name(2016, 3)).write_text("a,b\n1,2\n")
+    place.deliver(2016, 4, [for_month(OTHER_PERIOD, 2016, 4, 1)])
+    place.deliver(2016, 5, [for_month(OTHER_PERIOD, 2016, 5, n) for n in (13, 50)])
+    late = parts_of(place, 2016, 6)
+    write_raw(late / "part-0.csv", [for_month(OTHER_PERIOD, 2016, 6, 60)])
+    (place.incoming / "F_13_2016.csv").write_text("a,b\n1,2\n")
+    found = arrive(place, checkpoint)
+    assert {p: state for p, (state, _) in found.items()} == {
+        (2016, 1): "loaded", (2016, 2): "refused", (2016, 3): "refused", (2016, 4): "refused",
+        (2016, 5): "loaded", (2016, 6): "waiting", (2016, 13): "refused",
+    }
+    assert "period_matches: 1" in found[2016, 2][1] and "fact_grew" in found[2016, 4][1]
+    assert place.fact_ids() == sorted([*KEPT_IDS, "13", "50"])
+    left = {f.name for f in place.incoming.iterdir()}
+    assert {raw_file_name(2016, 5), raw_file_name(2016, 6)} <= left
+    assert not {raw_file_name(2016, m) for m in (2, 3, 4)} & left
+    assert len(list((place.incoming / "_refused").iterdir())) == 4
+
+    place.deliver(2016, 2, [for_month(OTHER_PERIOD, 2016, 2, 31)])
+    (late / "_SUCCESS").touch()
+    found = arrive(place, checkpoint)
+    assert found[2016, 2][0] == found[2016, 6][0] == "loaded" and found[2016, 3][0] == "refused"
+    assert place.fact_ids() == sorted([*KEPT_IDS, "13", "31", "50", "60"])
+    assert place.warehouse.count("monthlytimes") == 4
+
+
 def test_command_line(spark, place, capsys, tmp_path):
     place.deliver(2016, 1, ARRIVALS)
     place.deliver(2016, 2, [OTHER_PERIOD])

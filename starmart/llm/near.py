@@ -3,7 +3,8 @@
 The components are those of all pairs at or above the likeness; pairs inside a component that is already
 known are not verified, and links are not counted or returned. The steps, each over all documents:
 
-1. Equal sets become one node, named by a digest of the set.
+1. Equal sets become one node, named by a digest of the set. Its count vector has about four shingles a
+   group, so it tells large sets apart as well as small ones.
 2. Shingles that many documents have are found by counting (``hot_shingles``); they only move to the end
    of the order in which the next step takes shingles, which any common order makes exact.
 3. Two linked sets share one of the first ``n - ceil(0.75 n) + 1`` shingles of each. Nodes that share one
@@ -11,13 +12,12 @@ known are not verified, and links are not counted or returned. The steps, each o
 4. Stars, for the nodes of large blocks: each is compared with one hub of its blocks, a few times with
    other hubs while that finds many links. Large groups of copies fall together, and blocks within one
    component need nothing more.
-5. In each block left, an R-tree over count vectors gives the pairs of different components that can
-   link at all. Blocks beyond ``CHUNK`` nodes are cut into chunks that meet pairwise, so no task holds
-   a whole block.
-
-Pairs are first held against the bound of their count vectors, large sets also against that of vectors
-with more groups; only those that can link are compared by their sets, which are made from the texts of
-just these nodes.
+5. In each block left, an R-tree over count vectors finds the pairs of different components that can
+   link at all. Of these a task returns a spanning forest, fewer rows than nodes. Blocks beyond ``CHUNK``
+   nodes are cut into chunks that meet pairwise, so no task holds a whole block.
+6. What hangs together by such pairs is a cluster: any two nodes that can link are in one. Only the nodes
+   of clusters are read again; the sets of a cluster meet in one task, or pairwise in chunks, and all its
+   links between different components are verified there. Of these, too, a spanning forest is returned.
 
 One R-tree over all documents was not usable: a radius of a seventh of two sets' sizes is wider than the
 distance of unrelated sets for most sizes and any affordable number of groups, so it would compare
@@ -35,19 +35,28 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import forget, shuffle_partitions, stored
 from starmart.llm.components import components
-from starmart.llm.rtree import RTree, count_vector, may_link, vector_of
+from starmart.llm.rtree import (
+    RTree,
+    count_vector,
+    folded,
+    groups_for,
+    may_link,
+    overlap_bound,
+    packed,
+    unpacked,
+)
 from starmart.llm.shingles import set_digest, shingle_sets
+from starmart.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS
 
 HOT = 32  # documents with a shingle from which it goes to the end of the order
 MOST_HOT = 1_000_000  # hottest shingles sent to the tasks, 8 MB; others only keep their usual place
 CHUNK = 1000
-FINE_GROUPS = 4096  # of a second count vector, for sets that fill the first one's groups
-FINE_FROM = 1024  # shingles from which a set has one
+CHUNK_SHINGLES = 1_000_000  # of the sets of a chunk whose links are verified
 LARGE = 8  # nodes of a block from which stars are tried before all its pairs
 STARS = 6
 FEW_LINKS = 0.02  # links per compared pair below which another star is not worth its round
@@ -104,7 +113,7 @@ def read_texts(docs: DataFrame, parts: int) -> DataFrame:
             "mark": batch.column("mark"),
             "n_shingles": [len(s) for s in sets],
             "node": [set_digest(s) if len(s) else None for s in sets],
-            "vector": [count_vector(s).tobytes() if len(s) else None for s in sets],
+            "vector": [packed(count_vector(s, groups_for(len(s)))) if len(s) else None for s in sets],
         }
         return rows(columns, len(sets))
 
@@ -213,11 +222,16 @@ def blocks(docs: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(arrays, ["part", "hot", "entries"])
 
         pile, flags, size = [], [], 0
+        done: set[bytes] = set()  # copies are dealt once by each task
         for _, sets in _texts(batches):
             for s in filter(len, sets):
+                node = set_digest(s)
+                if node in done:
+                    continue
+                done.add(node)
                 tokens, is_hot = first_shingles(s, known.value, parts)
                 own = np.empty(len(tokens), _ENTRY)
-                own["token"], own["node"] = tokens, set_digest(s)
+                own["token"], own["node"] = tokens, node
                 pile.append(own)
                 flags.append(is_hot)
                 size += len(own)
@@ -274,40 +288,55 @@ def blocks(docs: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
 
 
 def node_table(sets: DataFrame) -> DataFrame:
-    """Per node its count vector, its smallest doc_id, and one document that has the set."""
+    """Per node its count vector, its size, its smallest doc_id, and one document that has the set."""
     return (
         sets.filter("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("vector").alias("vector"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "mark")).alias("of"))
+        .agg(
+            F.min("vector").alias("vector"),
+            F.min("n_shingles").alias("size"),
+            F.min("doc_id").alias("least"),
+            F.min(F.struct("doc_id", "mark")).alias("of"),
+        )
     )
 
 
-def _sets_of(docs: DataFrame, one: DataFrame) -> DataFrame:
-    """``node``, ``shingles`` and ``fine`` vector (empty for small sets) of the documents ``one``."""
-    same = docs["doc_id"].eqNullSafe(one["doc_id"]) & (F.xxhash64(docs["text"]) == one["mark"])
-    texts = docs.join(one, same, "left_semi").select("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, found in _texts(batches):
-            columns = map(set_digest, found), (s.tobytes() for s in found), map(_fine_vector, found)
-            arrays = [pa.array(c, pa.binary()) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, ["node", "shingles", "fine"])
+def _small(side: DataFrame) -> DataFrame:
+    """A stored table of short rows, sent to all tasks where it is counted to be within the bounds."""
+    width = sum(16 if kind == "binary" else 8 for _, kind in side.dtypes)
+    fits = side.count() <= min(BROADCAST_ROWS, BROADCAST_BYTES // width)
+    return F.broadcast(side) if fits else side
 
-    return texts.mapInArrow(run, "node binary, shingles binary, fine binary").dropDuplicates(["node"])
 
+def _with_sets(docs: DataFrame, nodes: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``shingles``, the set of the node in a column, read from the text of one document.
 
-def _fine_vector(s: np.ndarray) -> bytes:
-    if len(s) < FINE_FROM:
-        return b""
-    counts = count_vector(s, FINE_GROUPS)
-    return counts.astype(np.uint16).tobytes() if counts.max() < 1 << 16 else b""
+    ``rows`` holds nodes and whole numbers. Where it is small, no text is shuffled. Of a document that is
+    repeated with its id, each task gives the rows once.
+    """
+    kept = rows.columns
+    one = nodes.select(F.col("node").alias(column), "of.doc_id", "of.mark")
+    wanted = stored(rows.join(one, column).withColumnsRenamed({"doc_id": "_doc", "mark": "_mark"}), "wanted")
+    small = _small(wanted)
+    same = docs["doc_id"].eqNullSafe(small["_doc"]) & (F.xxhash64(docs["text"]) == small["_mark"])
+    found = docs.select("doc_id", "text").join(small, same).select(*kept, "text")
+    at = kept.index(column)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch, sets in _texts(batches):
+            keep, shingles = [], []
+            for row, s in zip(zip(*(batch.column(i).to_pylist() for i in range(len(kept))), strict=True), sets, strict=True):
+                new = row not in seen and set_digest(s) == row[at]
+                keep.append(new)
+                if new:
+                    seen.add(row)
+                    shingles.append(s.tobytes())
+            out = batch.select(kept).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(shingles, pa.binary())], [*kept, "shingles"])
 
-def _fine_overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
-    if not x or not y:
-        return 0, 0, 0  # nothing known: it may link
-    x, y = (np.frombuffer(v, np.uint16).astype(np.int32) for v in (x, y))
-    return np.minimum(x, y).sum(), x.sum(), y.sum()
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    return found.mapInArrow(run, f"{schema}, shingles binary")
 
 
 def _both_ends(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
@@ -329,8 +358,8 @@ def _fitting(pairs: DataFrame, overlap) -> DataFrame:
 
 
 def _vector_overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
-    x, y = vector_of(x), vector_of(y)
-    return np.minimum(x, y).sum(), x.sum(), y.sum()
+    x, y = unpacked(x), unpacked(y)
+    return overlap_bound(x, y), x.sum(), y.sum()
 
 
 def _set_overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
@@ -339,14 +368,13 @@ def _set_overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
 
 
 def linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``(u, v)`` of nodes whose sets link; ``pairs`` can link by their count vectors."""
+    """The pairs ``(u, v)`` of nodes whose sets link; ``v`` are hubs, few beside the nodes ``u``."""
     pairs = stored(pairs, "pairs")
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    one = stored(nodes.join(ends, "node", "left_semi").select("of.*").distinct(), "wanted")
-    sets = stored(_sets_of(docs, one), "sets")
-    close = stored(_fitting(_both_ends(pairs, sets, "fine"), _fine_overlap), "close-pairs")
-    found = stored(_fitting(_both_ends(close, sets, "shingles"), _set_overlap), "links")
-    forget(pairs, one, close, sets)
+    hubs = stored(_with_sets(docs, nodes, pairs.select("v").distinct(), "v"), "hub-sets")
+    own = _with_sets(docs, nodes, pairs, "u").withColumnRenamed("shingles", "a")
+    both = own.join(hubs.withColumnRenamed("shingles", "b"), "v").select("u", "v", "a", "b")
+    found = stored(_fitting(both, _set_overlap).distinct(), "links")
+    forget(pairs, hubs)
     return found
 
 
@@ -391,49 +419,158 @@ def _left(members: DataFrame, groups: DataFrame) -> DataFrame:
     return left
 
 
-def _tree_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different components that can link, by an R-tree per block or pair of chunks."""
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+class Forest:
+    """Which of some nodes hang together so far."""
+
+    def __init__(self):
+        self.parent: dict[bytes, bytes] = {}
+
+    def root(self, node: bytes) -> bytes:
+        parent = self.parent
+        while (above := parent.get(node, node)) != node:
+            parent[node] = node = parent.get(above, above)
+        return node
+
+    def joins(self, u: bytes, v: bytes) -> bool:
+        """Whether the two were apart; now they are not."""
+        u, v = self.root(u), self.root(v)
+        self.parent[u] = v
+        return u != v
+
+
+def _spots(chunks: Column) -> Column:
+    """A node's chunk ``own``, and all pairs ``i <= j`` of chunks that it takes part in."""
     own = F.pmod(F.hash("node"), chunks)
-    others = F.sequence(F.lit(0), chunks - 1)
-    spots = F.transform(
-        others, lambda i: F.struct(F.least(own, i).alias("i"), F.greatest(own, i).alias("j"), own.alias("own"))
-    )
+    pair = lambda i: F.struct(F.least(own, i).alias("i"), F.greatest(own, i).alias("j"), own.alias("own"))
+    return F.explode(F.transform(F.sequence(F.lit(0), chunks - 1), pair))
+
+
+def _of_size(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of small blocks that another one's size allows to link; large blocks are kept as they are."""
+    sized = members.join(nodes.select("node", "size"), "node")
+    by_size = Window.partitionBy("block").orderBy("size")
+    near = (4 * F.lag("size").over(by_size) >= 3 * F.col("size")) | (3 * F.lead("size").over(by_size) <= 4 * F.col("size"))
+    small = sized.filter(F.col("n") <= CHUNK).withColumn("near", near).filter("near").drop("near")
+    return small.unionByName(sized.filter(F.col("n") > CHUNK))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows that follow each other and have the same first three columns, one of each node, the fourth.
+
+    A node of a repeated document may come from several tasks.
+    """
+    flat = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    for _, group in groupby(flat, key=lambda r: r[:3]):
+        one: dict[bytes, tuple] = {}
+        for row in group:
+            one.setdefault(row[3], row)
+        yield list(one.values())
+
+
+def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    columns = zip(*pairs, strict=True) if pairs else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["u", "v"])
+
+
+def _tree_forest(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of different components that can link, by an R-tree per block or pair of chunks: a spanning forest."""
+    spots = _spots(F.ceil(F.col("n") / CHUNK).cast("int"))
     rows = (
-        members.withColumn("spot", F.explode(spots))
+        _of_size(members, nodes)
+        .withColumn("spot", spots)
         .select("block", "node", "component", "spot.*")
         .join(nodes.select("node", "vector"), "node")
         .repartition("block", "i", "j")
         .sortWithinPartitions("block", "i", "j")
     )
 
-    def search(group: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+    def forest(group: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
         """Nodes of the first chunk are searched for those of the second, or of their own."""
         _, i, j = group[0][:3]
-        left = [g for g in group if g[5] == i]
-        right = left if i == j else [g for g in group if g[5] == j]
+        vectors = [unpacked(g[6]) for g in group]
+        groups = min(map(len, vectors))
+        left = [k for k, g in enumerate(group) if g[5] == i]
+        right = left if i == j else [k for k, g in enumerate(group) if g[5] == j]
         if not left or not right:
             return
-        points = vector_of(b"".join(g[6] for g in left)).reshape(len(left), -1)
-        tree = RTree(points)
-        for _, _, _, node, component, _, vector in right:
-            for row in tree.search(vector_of(vector)):
+        tree = RTree(np.array([folded(vectors[k], groups) for k in left]))
+        met = Forest()
+        for k in right:
+            node, component = group[k][3:5]
+            size = int(vectors[k].sum())
+            for row in tree.search(folded(vectors[k], groups)):
                 other = left[row]
-                if other[4] != component and (i != j or other[3] < node):
-                    yield min(node, other[3]), max(node, other[3])
+                if group[other][4] == component or met.root(group[other][3]) == met.root(node):
+                    continue
+                if may_link(overlap_bound(vectors[k], vectors[other]), size, int(vectors[other].sum())):
+                    met.joins(node, group[other][3])
+                    yield node, group[other][3]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        for _, group in groupby(flat, key=lambda r: r[:3]):
-            pairs = list(search(list(group)))
-            if pairs:
-                arrays = [pa.array(c, pa.binary()) for c in zip(*pairs, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["u", "v"])
+        for group in _groups(batches):
+            yield _edges(list(forest(group)))
 
     ordered = rows.select("block", "i", "j", "node", "component", "own", "vector")
     return ordered.mapInArrow(run, "u binary, v binary").distinct()
 
 
+def _links_of(group: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+    """A spanning forest of the links between components in two chunks of a cluster, or within one.
+
+    Overlaps are counted exactly: the shingles of the first chunk are sorted with the number of their
+    node, and those of a node of the second look up which nodes have them.
+    """
+    _, i, j = group[0][:3]
+    left = [g for g in group if g[5] == i]
+    right = left if i == j else [g for g in group if g[5] == j]
+    if not left or not right:
+        return
+    sets = [np.frombuffer(g[6], np.uint64) for g in left]
+    sizes = np.array(list(map(len, sets)))
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    met = Forest()
+    for g in group:
+        met.joins(g[3], g[4])
+    for _, _, _, node, _, _, raw in right:
+        own = np.frombuffer(raw, np.uint64)
+        first, last = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+        times = last - first
+        at = np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
+        overlap = np.bincount(owner[at], minlength=len(left))
+        for k in np.flatnonzero(may_link(overlap, sizes, len(own))):
+            if met.joins(node, left[k][3]):
+                yield node, left[k][3]
+
+
+def _cluster_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, forest: DataFrame) -> DataFrame:
+    """The links between different components: a spanning forest of those of each cluster, or pair of its chunks."""
+    clusters = stored(components(forest).withColumnRenamed("component", "cluster"), "clusters")
+    sizes = clusters.join(nodes.select("node", "size"), "node").groupBy("cluster")
+    totals = stored(sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles")), "cluster-sizes")
+    chunks = F.ceil(F.greatest(F.col("n") / CHUNK, F.col("shingles") / CHUNK_SHINGLES)).cast("int")
+    labels = members.select("node", "component").distinct()
+    rows = (
+        clusters.join(labels, "node")
+        .join(totals, "cluster")
+        .withColumn("spot", _spots(chunks))
+        .select("cluster", "spot.*", "node", "component")
+    )
+    rows = stored(rows, "cluster-nodes")
+    sets = _with_sets(docs, nodes, rows, "node")
+    dealt = sets.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            yield _edges(list(_links_of(group)))
+
+    ordered = dealt.select("cluster", "i", "j", "node", "component", "own", "shingles")
+    links = stored(ordered.mapInArrow(run, "u binary, v binary").distinct(), "links")
+    forget(clusters, totals, rows)
+    return links
+
+
 def node_components(docs: DataFrame, nodes: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
     """``(node, component)`` of the nodes that link with another one. ``nodes`` is a stored node table."""
     spark = docs.sparkSession
@@ -455,9 +592,10 @@ def node_components(docs: DataFrame, nodes: DataFrame, hot: np.ndarray, parts: i
         forget(groups)
         if new.count() <= FEW_LINKS * compared:
             break
-    links = links.union(linked(docs, nodes, _tree_pairs(left, nodes)))
+    forest = stored(_tree_forest(left, nodes), "forest")
+    links = links.union(_cluster_links(docs, nodes, left, forest))
     groups = stored(components(links), "groups")
-    forget(members, left)
+    forget(members, left, forest)
     return groups
 
 

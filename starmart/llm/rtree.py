@@ -14,14 +14,36 @@ LEAF = 32
 FANOUT = 8
 
 
+def groups_for(n: int) -> int:
+    """Groups for a set of n shingles, about four of them in each; a power of two."""
+    return max(GROUPS, 1 << ((n - 1) // 4).bit_length())
+
+
 def count_vector(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """Shingles per group, told by bits that the order of the hashes does not use."""
     own = (shingles & np.uint64(groups - 1)).astype(np.int64)
     return np.bincount(own, minlength=groups).astype(np.int32)
 
 
-def vector_of(stored: bytes) -> np.ndarray:
-    return np.frombuffer(stored, np.int32)
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """The counts in fewer groups."""
+    return counts.reshape(-1, groups).sum(axis=0)
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """A count vector in bytes: the width of a count and the counts."""
+    width = 1 if counts.max(initial=0) < 1 << 8 else 2 if counts.max() < 1 << 16 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int32)
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """How many shingles two sets can share, by their counts in the groups both have."""
+    groups = min(len(a), len(b))
+    return int(np.minimum(folded(a, groups), folded(b, groups)).sum())
 
 
 def may_link(overlap: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:

@@ -45,7 +45,7 @@ def corpus():
 def test_brute_force(spark, corpus, monkeypatch, large):
     monkeypatch.setattr(near, "LARGE", large)
     monkeypatch.setattr(near, "CHUNK", 40)
-    monkeypatch.setattr(near, "FINE_FROM", 60)
+    monkeypatch.setattr(near, "CHUNK_SHINGLES", 3000)
     frame = spark.createDataFrame([(*r, "c") for r in corpus], "doc_id long, text string, node string")
     assert found(frame) == near_components(corpus)
 
@@ -79,6 +79,32 @@ def test_rtree_finds_every_pair_that_can_link():
                 assert j in hits
 
 
+def test_finer_vectors_bound_the_overlap():
+    """For sets of any sizes: packed, folded to common groups, never below what they share."""
+    noise = np.random.default_rng(3)
+    for n in (1, 5, 1024, 1025, 9000):
+        s = np.unique(noise.integers(0, 1 << 62, n).astype(np.uint64))
+        t = np.append(s[: n // 2], noise.integers(0, 1 << 62, 3 * n).astype(np.uint64))
+        a, b = (rtree.unpacked(rtree.packed(rtree.count_vector(x, rtree.groups_for(len(x))))) for x in (s, t))
+        assert (a.sum(), b.sum()) == (len(s), len(t))
+        assert len(np.intersect1d(s, t)) <= rtree.overlap_bound(a, b) <= len(s)
+    crowded = np.arange(0, 1 << 20, 256, dtype=np.uint64)
+    assert rtree.unpacked(rtree.packed(rtree.count_vector(crowded))).tolist() == [4096] + [0] * 255
+
+
+def test_a_cluster_returns_a_forest_of_its_links():
+    """Fewer rows than nodes, whatever the number of links; known components are not linked again."""
+    base = np.arange(1000, 1400, dtype=np.uint64)
+    sets = [np.sort(np.append(base[k:], np.arange(k, dtype=np.uint64) + np.uint64(5000 + 100 * k))) for k in range(30)]
+    rows = [(1, 0, 0, bytes([k]), bytes([0 if k < 10 else k]), 0, s.tobytes()) for k, s in enumerate(sets)]
+    links = list(near._links_of(rows))
+    assert len(links) == 20
+    for u, v in links:
+        a, b = sets[u[0]], sets[v[0]]
+        common = len(np.intersect1d(a, b))
+        assert 100 * common >= 75 * (len(a) + len(b) - common)
+
+
 def test_query(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     rows = op2_ngram_join(spark, sf_dir).collect()

@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from operator import itemgetter
 
 import ahocorasick
 import pyarrow as pa
@@ -26,7 +28,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-KEPT_PIECES = 200_000  # encodings of pieces remembered per worker
+KEPT_PIECES = 150_000  # encodings of pieces remembered per worker, and as many older ones
 KEPT_PAIRS = 1_000_000  # pairs of tokens remembered per worker
 ENCODED = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -127,6 +129,36 @@ class Prefixes:
         return found[::-1]
 
 
+class Pieces(dict):
+    """Token ids of pieces, encoded when first asked for; short pieces are remembered.
+
+    When they are too many, those not asked for since the last time there were are forgotten.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.older.get(piece)
+        if ids is None:
+            raw = piece.encode()
+            whole = self.vocabulary.ranks.get(raw)
+            ids = (whole,) if whole is not None else tuple(Prefixes(self.vocabulary, raw).tokens())
+        if len(piece) < 64:  # longer ones hardly recur; they are encoded anew
+            if len(self) >= KEPT_PIECES:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
+def _looked_up(table: list, ids: list[int]) -> tuple:
+    """The table's entries for the ids, in their order."""
+    return itemgetter(*ids)(table) if len(ids) > 1 else tuple(table[i] for i in ids)
+
+
 @dataclass
 class Codec:
     """Texts to token ids and back."""
@@ -136,29 +168,21 @@ class Codec:
 
     def __post_init__(self):
         self._split = regex.compile(self.pattern)
-        self._known: dict[str, tuple[int, ...]] = {}
-
-    def piece_tokens(self, piece: str) -> tuple[int, ...]:
-        known = self._known.get(piece)
-        if known is None:
-            raw = piece.encode()
-            whole = self.vocabulary.ranks.get(raw)
-            known = (whole,) if whole is not None else tuple(Prefixes(self.vocabulary, raw).tokens())
-            if len(self._known) >= KEPT_PIECES:
-                self._known.clear()
-            if len(piece) < 64:  # longer ones hardly recur; they are encoded anew
-                self._known[piece] = known
-        return known
+        self._pieces = Pieces(self.vocabulary)
+        bytes_of = self.vocabulary.bytes_of
+        ranks = range(max(bytes_of, default=-1) + 1)
+        self._bytes = [bytes_of.get(rank) for rank in ranks]
+        self._names = [str(rank) for rank in ranks]
 
     def encode(self, text: str) -> list[int]:
-        known, encode = self._known, self.piece_tokens
-        ids: list[int] = []
-        for piece in self._split.findall(text):
-            ids.extend(known.get(piece) or encode(piece))
-        return ids
+        return list(chain.from_iterable(map(self._pieces.__getitem__, self._split.findall(text))))
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(_looked_up(self._bytes, ids))
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
+    def listed(self, ids: list[int]) -> str:
+        """The ids in decimal, joined by commas."""
+        return ",".join(_looked_up(self._names, ids))
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
@@ -206,7 +230,7 @@ def round_trips(docs: DataFrame, ranks_path: str, pattern: str, text: str = "tex
             for value in batch.column(1):
                 ids = codec.encode(value.as_py() or "")
                 out[0].append(len(ids))
-                out[1].append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                out[1].append(hashlib.sha256(codec.listed(ids).encode()).hexdigest())
                 out[2].append(hashlib.sha256(codec.decode(ids)).hexdigest())
             arrays = [batch.column(0), pa.array(out[0], pa.int64()), *(pa.array(x, pa.string()) for x in out[1:])]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

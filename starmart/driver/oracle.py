@@ -177,6 +177,16 @@ def _attributes() -> str:
     return f"{WITH_FACT} {' UNION ALL '.join(parts)}"
 
 
+def _kept_rollups() -> str:
+    parts = (
+        f"SELECT '{c}' AS attribute, CAST({c} AS VARCHAR) AS value, Year, Month, count(*) AS n, "
+        f"count(Age) AS ages, CAST(sum(Age) AS BIGINT) AS age_sum "
+        f"FROM fact GROUP BY GROUPING SETS (({c}, Year, Month), ({c}, Year))"
+        for c in REPORT_ATTRIBUTES
+    )
+    return f"{WITH_FACT} {' UNION ALL '.join(parts)}"
+
+
 def _distinct_values() -> str:
     parts = (f"SELECT DISTINCT '{c}' AS field, {c} AS value FROM arr" for c in PROFILED)
     return f"{WITH_ARR} {' UNION ALL '.join(parts)}"
@@ -467,6 +477,45 @@ ORACLE: dict[str, str] = {
     "restated_period": f"""{WITH_FACT}
         SELECT * REPLACE (CASE WHEN Year = {BAD_MONTH[0]} AND Month = {BAD_MONTH[1]} THEN 'X' ELSE Gender END AS Gender)
         FROM fact WHERE NOT (Year = {BAD_MONTH[0]} AND Month = {BAD_MONTH[1]} AND CAST(CICID AS BIGINT) % 3 = 0)""",
+    "rollup_after_increment": _kept_rollups(),
+    "distinct_by_sketch": f"""{WITH_FACT}, long AS (
+            SELECT Year, Month, unnest(['Flight_Number', 'Airline_Code', 'Adm_Number']) AS field,
+                   unnest([Flight_Number, Airline_Code, Adm_Number]) AS value FROM fact)
+        SELECT field, Year, Month, count(DISTINCT value) AS exact, true AS "close"
+        FROM long GROUP BY GROUPING SETS ((field, Year, Month), (field, Year))""",
+    "compacted_fact": FACT,
+    "load_rejects": f"""{WITH_ARR}, placed AS (
+            SELECT strftime(make_date(CAST(i94yr AS INTEGER), CAST(i94mon AS INTEGER), 1), '%Y-%m') AS delivery, cicid,
+                   i94yr = {BAD_MONTH[0]} AND i94mon = {BAD_MONTH[1]} AS headless
+            FROM arr), numbered AS (
+            SELECT *, 1 + row_number() OVER (PARTITION BY delivery ORDER BY cicid) AS line FROM placed)
+        SELECT delivery, line, CASE WHEN headless THEN 'header' ELSE 'values' END AS reason, cicid
+        FROM numbered WHERE headless OR cicid % 50 = 0
+        UNION ALL SELECT NULL, NULL, 'good', cicid FROM numbered WHERE NOT (headless OR cicid % 50 = 0)""",
+    "code_dictionary": """
+        SELECT 'country' AS domain, CAST(n_nationkey AS VARCHAR) AS code,
+               CASE WHEN n_regionkey = 0 THEN 'INVALID: ' || n_name ELSE n_name END AS label,
+               CASE WHEN n_regionkey = 0 THEN 'invalid' ELSE 'valid' END AS code_class FROM nation
+        UNION ALL SELECT 'port', 'S' || s_suppkey, s_name || chr(39) || 's', 'valid' FROM supplier
+        UNION ALL SELECT 'visa_category', code, label, 'valid'
+        FROM (VALUES ('1', 'Business'), ('2', 'Pleasure'), ('3', 'Student')) AS visa (code, label)""",
+    "dropped_and_refilled": f"""{WITH_MART}, counts AS (
+            SELECT 'immigrationfacts' AS name, count(*) AS n, false AS kept FROM fact
+            UNION ALL SELECT 'years', count(DISTINCT Year), false FROM fact
+            UNION ALL SELECT 'months', count(DISTINCT Month), false FROM fact
+            UNION ALL SELECT 'monthlytimes', count(DISTINCT Monthly_Time), false FROM fact
+            UNION ALL SELECT 'airports', count(*), true FROM airports
+            UNION ALL SELECT 'airlines', count(*), true FROM airlines
+            UNION ALL SELECT 'municipalities', count(DISTINCT municipality), true FROM airports
+            UNION ALL SELECT * FROM (VALUES ('visatypes', 3, true), ('genders', 4, true), ('agegroups', 5, true)))
+        SELECT step, name, CASE WHEN step = 'reset' AND NOT kept THEN 0 ELSE n END AS n
+        FROM counts CROSS JOIN (VALUES ('filled'), ('reset'), ('refilled')) AS steps (step)""",
+    "refused_starts": f"""{WITH_FACT}, following AS (
+            SELECT max(Year * 12 + Month) AS m FROM fact)
+        SELECT 'no file' AS step, 'F_' || (m % 12 + 1) || '_' || (m // 12) || '.csv' AS outcome FROM following
+        UNION ALL SELECT 'no fact', 'fact_exists'
+        UNION ALL SELECT 'empty register', 'monthlytimes has no rows'
+        UNION ALL SELECT 'no register', 'monthlytimes does not exist'""",
     "fact_from_lineitem": _fact(LINES),
     "keyless_lines": f"WITH arr AS ({LINES}) "
     + " UNION ALL ".join(

@@ -30,10 +30,11 @@ from starmart.operators.insert import absent_rows, insert_if_absent
 from starmart.operators.lookup import decode
 from starmart.operators.profile import null_profile, shape
 from starmart.plans import fact as fact_plan
-from starmart.plans import jobs, marts, quality
+from starmart.plans import jobs, maintenance, marts, quality, rollups
 from starmart.schemas import DIMENSIONS, FACT_TABLE, KEPT_COLUMNS, PERIOD_DIMENSIONS, key_of
 from starmart.session import scratch_path
-from starmart.sources import landing, paths
+from starmart.sources import landing, paths, rejects
+from starmart.sources.codebook import read_codebook
 from starmart.sources.dimension_files import read_airports
 from starmart.sources.raw import kept, raw_file_name, read_raw
 from starmart.sources.warehouse import Warehouse
@@ -637,6 +638,161 @@ def restated_period(spark, sf_dir):
     return job.warehouse.read(FACT_TABLE)
 
 
+def _loaded_mart(spark: SparkSession, sf_dir: str, months: Column | None = None) -> jobs.MartJob:
+    """A mart with all arrivals, or those of some months, loaded as one batch."""
+    job = _prepared_mart(spark, sf_dir)
+    arrivals = ad.arrivals(spark, sf_dir)
+    rows = arrivals if months is None else arrivals.filter(months)
+    jobs.load_batch(job.warehouse, _with_load_period(rows), job.config)
+    return job
+
+
+def _incremented(spark: SparkSession, sf_dir: str) -> jobs.MartJob:
+    """All months but the last are loaded and rolled up; the last one is delivered, loaded and rolled up alone."""
+    last = _last_months(spark, sf_dir)[-1]
+    job = _loaded_mart(spark, sf_dir, ~_is_month(last))
+    rollups.refresh(job.warehouse)
+    _deliver(job, ad.raw_arrivals(spark, sf_dir).filter(_is_month(last)), *last)
+    jobs.advance(job)
+    rollups.refresh(job.warehouse)
+    return job
+
+
+@registered
+def rollup_after_increment(spark, sf_dir):
+    """Kept roll-ups by month and year after an increment; only the new month's rows are read for it."""
+    return rollups.attributes_over_time(_incremented(spark, sf_dir).warehouse)
+
+
+@registered
+def distinct_by_sketch(spark, sf_dir):
+    """Distinct values from kept sketches beside the exact numbers: whether they are within 3 %."""
+    warehouse = _incremented(spark, sf_dir).warehouse
+    fields = [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in rollups.SKETCHED]
+    values = warehouse.read(FACT_TABLE).select("Year", "Month", F.inline(F.array(*fields)))
+    levels = [["field", "Year", "Month"], ["field", "Year"]]
+    exact = values.groupingSets(levels, "field", "Year", "Month").agg(F.count_distinct("value").alias("exact"))
+    estimated = rollups.distinct_over_time(warehouse).withColumnsRenamed({"field": "_field", "Year": "_year", "Month": "_month"})
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in (("field", "_field"), ("Year", "_year"), ("Month", "_month"))]
+    close = F.abs(F.col("estimate") - F.col("exact")) <= 0.03 * F.col("exact")
+    return exact.join(estimated, same).select("field", "Year", "Month", "exact", close.alias("close"))
+
+
+@registered
+def compacted_fact(spark, sf_dir):
+    """The fact after three loads of a third of the arrivals each and a compaction of its files."""
+    job = _prepared_mart(spark, sf_dir)
+    arrivals = _with_load_period(ad.arrivals(spark, sf_dir))
+    for third in range(3):
+        jobs.load_batch(job.warehouse, arrivals.filter(F.col("cicid") % 3 == third), job.config)
+    maintenance.compact(job.warehouse)
+    return job.warehouse.read(FACT_TABLE)
+
+
+@registered
+def load_rejects(spark, sf_dir):
+    """Lines of a delivery that do not fit: every 50th arrival has no number as year, a month's file no header."""
+    root = scratch_path(spark, "deliveries")
+    raw = ad.raw_arrivals(spark, sf_dir)
+    month = F.col("i94mon").cast("int").cast("string")
+    month = F.concat_ws("-", F.col("i94yr").cast("int").cast("string"), F.lpad(month, 2, "0"))
+    bad_year = F.when(F.col("cicid") % 50 == 0, F.lit("year?")).otherwise(F.col("i94yr").cast("string"))
+    columns = [bad_year if c == "i94yr" else F.col(c).cast("string") for c in raw.columns]
+    value = F.concat_ws(",", *(F.coalesce(c, F.lit("")) for c in columns))
+    header = F.when(month == f"{BAD_MONTH[0]}-{BAD_MONTH[1]:02}", "no,header").otherwise(rejects.HEADER)
+    text = raw.select(month.alias("delivery"), F.col("cicid").alias("place"), value.alias("value"))
+    heads = raw.select(month.alias("delivery"), F.lit(-1.0).alias("place"), header.alias("value")).distinct()
+    lines = text.union(heads).repartition("delivery").sortWithinPartitions("delivery", "place")
+    lines.select("value", "delivery").write.partitionBy("delivery").text(f"{root}/incoming")
+    rejects.load_lines(spark, [f"{root}/incoming"], f"{root}/good", f"{root}/rejected", f"{root}/lines")
+    found = spark.read.parquet(f"{root}/rejected").select(
+        F.regexp_extract("file", r"delivery=([0-9-]+)", 1).alias("delivery"),
+        "line",
+        "reason",
+        F.split("text", ",")[0].cast("double").alias("cicid"),
+    )
+    good = spark.read.parquet(f"{root}/good").select("cicid").withColumn("reason", F.lit("good"))
+    return found.unionByName(good, allowMissingColumns=True)
+
+
+@registered
+def code_dictionary(spark, sf_dir):
+    """Nations and suppliers as the lists of a dictionary file, read back."""
+    root = scratch_path(spark, "dictionary")
+    nation, supplier = ad.table(spark, sf_dir, "nation"), ad.table(spark, sf_dir, "supplier")
+    marked = F.when(F.col("n_regionkey") == 0, F.concat(F.lit("INVALID: "), "n_name")).otherwise(F.col("n_name"))
+    countries = nation.select(
+        F.lit("i94cntyl").alias("list"),
+        F.col("n_nationkey").cast("bigint").alias("k"),
+        F.concat(F.lit("   "), F.col("n_nationkey").cast("string"), F.lit(" =  '"), marked, F.lit("'")).alias("line"),
+    )
+    number = F.col("s_suppkey").cast("string")
+    ports = supplier.select(
+        F.lit("$i94prtl").alias("list"),
+        F.col("s_suppkey").cast("bigint").alias("k"),
+        F.concat(F.lit("   'S"), number, F.lit("' = '"), "s_name", F.lit("''s   '")).alias("line"),
+    )
+    entries = F.array_sort(F.collect_list(F.struct("k", "line")))
+    lists = countries.union(ports).groupBy("list").agg(entries.alias("entries"))
+    body = F.array_join(F.transform("entries", lambda e: e["line"]), "\n")
+    text = lists.select(F.concat(F.lit("  value "), "list", F.lit("\n"), body, F.lit("\n;")).alias("value"))
+    text.coalesce(1).write.text(root)
+    return read_codebook(spark, root)
+
+
+@registered
+def dropped_and_refilled(spark, sf_dir):
+    """Rows per table of a filled mart, after dropping and creating it, and after filling it again."""
+    job = _loaded_mart(spark, sf_dir)
+    names = [FACT_TABLE, *DIMENSIONS]
+
+    def counted(step: str) -> DataFrame:
+        zeros = quality.literal_rows(spark, [{"name": F.lit(t), "one": F.lit(0)} for t in names])
+        ones = [job.warehouse.read(t).select(F.lit(t).alias("name"), F.lit(1).alias("one")) for t in names]
+        counts = reduce(DataFrame.unionAll, [zeros, *ones]).groupBy("name").agg(F.sum("one").alias("n"))
+        rows = [{"step": F.lit(step), "name": F.lit(r.name), "n": F.lit(r.n).cast("bigint")} for r in counts.collect()]
+        return quality.literal_rows(spark, rows)
+
+    filled = counted("filled")
+    jobs.set_up(job.warehouse, ad.port_source(spark, sf_dir), ad.carrier_source(spark, sf_dir), job.config)
+    reset = counted("reset")
+    jobs.load_batch(job.warehouse, _with_load_period(ad.arrivals(spark, sf_dir)), job.config)
+    return filled.union(reset).union(counted("refilled"))
+
+
+@registered
+def refused_starts(spark, sf_dir):
+    """Loads that cannot start: no file for the next month, no fact, an empty register, no register."""
+    job = _loaded_mart(spark, sf_dir)
+    warehouse = job.warehouse
+    batch = _with_load_period(ad.arrivals(spark, sf_dir))
+
+    def without(table: str, create: bool, start: Callable[[], object]) -> Callable[[], object]:
+        def run() -> None:
+            warehouse.drop([table])
+            if create:
+                warehouse.create([table])
+            start()
+
+        return run
+
+    steps = {
+        "no file": lambda: jobs.advance(job),
+        "no fact": without(FACT_TABLE, False, lambda: jobs.load_batch(warehouse, batch, job.config)),
+        "empty register": without("monthlytimes", True, lambda: jobs.next_period(warehouse)),
+        "no register": without("monthlytimes", False, lambda: jobs.next_period(warehouse)),
+    }
+    rows = []
+    for step, start in steps.items():
+        try:
+            start()
+            outcome = "started"
+        except (quality.QualityError, landing.SourceMissing) as error:
+            outcome = str(error).rsplit("/", 1)[-1].split(":")[0]
+        rows.append({"step": F.lit(step), "outcome": F.lit(outcome)})
+    return quality.literal_rows(spark, rows)
+
+
 @registered
 def fact_from_lineitem(spark, sf_dir):
     """Fact rows of arrivals whose number repeats or is missing, some of unknown day and age."""

@@ -22,6 +22,12 @@ def in_period(year_field: str, month_field: str, year: Column, month: Column) ->
     return (F.col(year_field) == year) & (F.col(month_field) == month)
 
 
+def in_periods(periods: Iterable[tuple[int, int]], year_field: str, month_field: str) -> Column:
+    """Whether a row is of one of some months; on partition columns it prunes the other folders."""
+    months = (in_period(year_field, month_field, F.lit(y), F.lit(m)) for y, m in sorted(periods))
+    return reduce(lambda a, b: a | b, months, F.lit(False))
+
+
 def outside_period(year_field: str, month_field: str, year: Column, month: Column) -> Column:
     """Year or month differ from the expected ones."""
     return (F.col(year_field) != year) | (F.col(month_field) != month)

@@ -27,6 +27,7 @@ from starmart.operators.dimensions import (
     municipalities,
     seed,
 )
+from starmart.operators.filters import in_periods
 from starmart.operators.insert import absent_rows
 from starmart.operators.summaries import latest_period
 from starmart.plans import quality
@@ -115,13 +116,6 @@ def _calendar_periods(periods: set[tuple]) -> set[Period]:
     return {(y, m) for y, m in periods if y is not None and m is not None and 1 <= m <= 12}
 
 
-def _in_periods(periods: Iterable[Period], year: str, month: str) -> Column:
-    """Whether a row is of one of some months; as a predicate that prunes partitions."""
-    return reduce(
-        lambda a, b: a | b, ((F.col(year) == y) & (F.col(month) == m) for y, m in sorted(periods)), F.lit(False)
-    )
-
-
 def _register_rows(spark: SparkSession, periods: set[Period], known: set[Period]) -> dict[str, DataFrame]:
     """Rows that the period dimensions lack for some months; a table that lacks none has no entry."""
     lacking = {
@@ -254,7 +248,7 @@ def _load(
             return Loaded(0, periods, refused)
         rows = staged.rows
         if apart:
-            rows = rows.filter(_in_periods(periods, *LOAD_PERIOD))
+            rows = rows.filter(in_periods(periods, *LOAD_PERIOD))
             rows = first_per_key(rows, [key], LOAD_PERIOD) if len(periods) > 1 else rows
         rows = rows.select(*FACT_COLUMNS)
 
@@ -262,7 +256,7 @@ def _load(
         known = None if keys.is_empty() else keys.known(among=rows)
         before = None
         if restated:
-            before = warehouse.read(FACT_TABLE).filter(_in_periods([restated], *FACT_PARTITIONS)).select(key)
+            before = warehouse.read(FACT_TABLE).filter(in_periods([restated], *FACT_PARTITIONS)).select(key)
             known = known.join(before, key, "left_anti")
         added, found = _stage_new(warehouse, rows, known, f"{ready}/fact")
         new = spark.read.schema(TABLES[FACT_TABLE]).parquet(f"{ready}/fact").select(key)

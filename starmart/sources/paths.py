@@ -50,18 +50,24 @@ def size_of(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-def files_in(spark: SparkSession, folder: str) -> list[str]:
-    """Data files below a folder, as paths relative to it; none if there is no such folder."""
+def sizes_in(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Data files below a folder, as paths relative to it, with their bytes; none without such a folder."""
     fs, hadoop_path = _file_system(spark, folder)
     if not fs.exists(hadoop_path):
-        return []
+        return {}
     root = fs.makeQualified(hadoop_path).toUri().getPath().rstrip("/") + "/"
-    found, listed = [], fs.listFiles(hadoop_path, True)
+    found, listed = {}, fs.listFiles(hadoop_path, True)
     while listed.hasNext():
-        name = listed.next().getPath().toUri().getPath().removeprefix(root)
+        status = listed.next()
+        name = status.getPath().toUri().getPath().removeprefix(root)
         if not any(part.startswith(("_", ".")) for part in name.split("/")):
-            found.append(name)
-    return sorted(found)
+            found[name] = status.getLen()
+    return dict(sorted(found.items()))
+
+
+def files_in(spark: SparkSession, folder: str) -> list[str]:
+    """Data files below a folder, as paths relative to it."""
+    return list(sizes_in(spark, folder))
 
 
 def names_in(spark: SparkSession, folder: str) -> list[str]:

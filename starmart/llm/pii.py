@@ -27,6 +27,8 @@ CONTEXT_CHARS = 40
 CONTEXT_GAIN = 0.3
 LISTED = r"^(?:(?:[^\p{L}]|\b(?:and|or|und|oder|et|ou|y|o|e)\b)*+|(?s:.*\n.*))$"
 MIN_SCORE = 0.6
+RUN = 256  # matches of a text folded at once
+CUTS = (4096, 64)  # stretches of a text that are cut out together
 
 SPAN_TYPE = "array<struct<start:int,end:int,score:double>>"
 
@@ -128,60 +130,105 @@ def _left(text: Column) -> Column:
 
 
 def _right(text: Column) -> Column:
-    return F.when(F.length(text) <= CONTEXT_CHARS, text).otherwise(
-        F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS)
+    return F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS)  # all of a shorter text
+
+
+def _fold(
+    items: Column,
+    start: Column,
+    step: Callable[[Column, Column], Column],
+    emit: Callable[[Column, Column], Column],
+    emitted: str,
+) -> Column:
+    """``carry`` after the last of the items (a lambda's variable) and ``out``, all that was emitted, in order.
+
+    ``step`` gives the next carry of a carry and an item, ``emit`` an array (of type ``emitted``) for them.
+    An array that grows by one is copied each time, so it grows in runs of ``RUN`` items only, and the
+    runs are joined at the end.
+    """
+
+    def add(done: Column, at: Column) -> Column:
+        item = F.get(items, at)
+        out = F.concat(done["out"], emit(done["carry"], item))
+        return F.struct(step(done["carry"], item).alias("carry"), out.alias("out"))
+
+    def add_run(done: Column, at: Column) -> Column:
+        empty = F.struct(done["carry"].alias("carry"), F.array().cast(emitted).alias("out"))
+        run = F.aggregate(F.sequence(at, F.least(at + RUN, F.size(items)) - 1), empty, add)
+        return let(
+            run, lambda r: F.struct(r["carry"].alias("carry"), F.concat(done["runs"], F.array(r["out"])).alias("runs"))
+        )
+
+    none = F.struct(start.alias("carry"), F.array().cast(f"array<{emitted}>").alias("runs"))
+    runs = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1, F.lit(RUN)))
+    runs = F.coalesce(runs, F.array().cast("array<int>"))
+    return F.aggregate(
+        runs, none, add_run, lambda done: F.struct(done["carry"].alias("carry"), F.flatten(done["runs"]).alias("out"))
     )
 
 
 def _found(pairs: Column) -> Column:
     """For the matches that pass their check: place, text before back to the last one, and if it is so near."""
 
-    def add(done: Column, pair: Column) -> Column:
+    def before(done: Column, pair: Column) -> Column:
+        return _right(F.concat(done["tail"], _right(pair["gap"])))
+
+    def step(done: Column, pair: Column) -> Column:
+        end = done["at"] + F.length(pair["gap"]) + F.length(pair["match"])
+        tail = _right(F.concat(before(done, pair), _right(pair["match"])))
+        return F.struct(
+            end.alias("at"),
+            F.when(pair["valid"], "").otherwise(tail).alias("tail"),
+            F.when(pair["valid"], end).otherwise(done["last"]).alias("last"),
+        )
+
+    def emit(done: Column, pair: Column) -> Column:
         start = done["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["match"])
-        before = _right(F.concat(done["tail"], _right(pair["gap"])))
-        last = F.get(done["found"], F.size(done["found"]) - 1)["end"]
         span = F.struct(
             start.alias("start"),
-            end.alias("end"),
-            before.alias("before"),
-            F.coalesce(start - last <= CONTEXT_CHARS, F.lit(False)).alias("close"),
-        )
-        return F.struct(
-            end.alias("at"),
-            F.when(pair["valid"], "").otherwise(_right(F.concat(before, _right(pair["match"])))).alias("tail"),
-            F.when(pair["valid"], F.concat(done["found"], F.array(span))).otherwise(done["found"]).alias("found"),
+            (start + F.length(pair["match"])).alias("end"),
+            before(done, pair).alias("before"),
+            F.coalesce(start - done["last"] <= CONTEXT_CHARS, F.lit(False)).alias("close"),
         )
+        return F.when(pair["valid"], F.array(span)).otherwise(F.array().cast(kind))
 
-    none = F.array().cast("array<struct<start:int,end:int,before:string,close:boolean>>")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("found"))
-    return F.aggregate(pairs, start, add, lambda done: done["found"])
+    kind = "array<struct<start:int,end:int,before:string,close:boolean>>"
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.lit(None).cast("int").alias("last"))
+    return _fold(pairs, first, step, emit, kind)["out"]
 
 
 def _after(pairs: Column) -> Column:
     """The text after each of those matches, up to the next one."""
 
-    def add(done: Column, pair: Column) -> Column:
-        after = _left(F.concat(_left(pair["next"]), done["head"]))
-        return F.struct(
-            F.when(pair["valid"], "").otherwise(_left(F.concat(_left(pair["match"]), after))).alias("head"),
-            F.when(pair["valid"], F.concat(done["found"], F.array(after))).otherwise(done["found"]).alias("found"),
-        )
+    def after(done: Column, pair: Column) -> Column:
+        return _left(F.concat(_left(pair["next"]), done["head"]))
+
+    def step(done: Column, pair: Column) -> Column:
+        head = _left(F.concat(_left(pair["match"]), after(done, pair)))
+        return F.struct(F.when(pair["valid"], "").otherwise(head).alias("head"))
 
-    start = F.struct(F.lit("").alias("head"), F.array().cast("array<string>").alias("found"))
-    return F.reverse(F.aggregate(F.reverse(pairs), start, add, lambda done: done["found"]))
+    def emit(done: Column, pair: Column) -> Column:
+        return F.when(pair["valid"], F.array(after(done, pair))).otherwise(F.array().cast("array<string>"))
+
+    none = F.struct(F.lit("").alias("head"))
+    return let(F.reverse(pairs), lambda back: F.reverse(_fold(back, none, step, emit, "array<string>")["out"]))
 
 
 def _spread(spans: Column, linked: Callable[[Column, Column], Column]) -> Column:
     """Context handed on from one span of the array to the next one, where they are linked."""
 
-    def add(done: Column, span: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        near = span["near"] | (last["near"] & linked(last, span))
-        return F.concat(done, F.array(span.withField("near", near)))
+    def near(last: Column, span: Column) -> Column:
+        return span["near"] | (last["near"] & linked(last, span))
+
+    def step(last: Column, span: Column) -> Column:
+        return F.struct(near(last, span).alias("near"), span["linked"].alias("linked"))
 
-    rest = F.slice(spans, F.lit(2), F.greatest(F.size(spans) - 1, F.lit(0)))
-    return F.aggregate(rest, F.slice(spans, 1, 1), add)
+    def emit(last: Column, span: Column) -> Column:
+        return F.array(span.withField("near", near(last, span)))
+
+    kind = "array<struct<start:int,end:int,near:boolean,linked:boolean>>"
+    none = F.struct(F.lit(False).alias("near"), F.lit(False).alias("linked"))
+    return _fold(spans, none, step, emit, kind)["out"]
 
 
 def spans_of(kind: Kind, text: Column, min_score: float) -> Column:
@@ -255,6 +302,28 @@ def span_list(kinds) -> Column:
     return F.array_join(F.concat(*map(of_kind, kinds)), ",")
 
 
+def _cut(text: Column, cuts: Column) -> Column:
+    """The stretches of the text between neighbouring cuts (at least two, ascending).
+
+    Cutting takes time by the length of what is cut from, so long texts are cut into parts with
+    ``CUTS[0]`` stretches, these into parts with ``CUTS[1]``, and these into stretches.
+    """
+
+    def within(text: Column, base: Column, first: Column, stop: Column, sizes: tuple[int, ...]) -> Column:
+        """Stretches ``first`` to ``stop`` (exclusive) of a text that starts at ``base``."""
+        starts = F.sequence(first, stop - 1, F.lit(sizes[0] if sizes else 1))
+
+        def part(i: Column) -> Column:
+            end = F.least(i + (sizes[0] if sizes else 1), stop)
+            at = F.get(cuts, i)
+            piece = F.substring(text, at - base + 1, F.get(cuts, end) - at)
+            return let(piece, lambda p: within(p, at, i, end, sizes[1:])) if sizes else piece
+
+        return F.flatten(F.transform(starts, part)) if sizes else F.transform(starts, part)
+
+    return within(text, F.lit(0), F.lit(0), F.size(cuts) - 1, CUTS)
+
+
 def masked(text: Column) -> Column:
     """The text with every span replaced by its kind in brackets; overlapping spans become one."""
 
@@ -265,28 +334,25 @@ def masked(text: Column) -> Column:
             lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), name.alias("kind")),
         )
 
-    all_spans = F.array_sort(F.concat(*map(of_kind, KINDS)))
+    def step(done: Column, s: Column) -> Column:
+        return F.struct(F.greatest(done["at"], s["end"]).alias("at"))
 
-    def add(done: Column, s: Column) -> Column:
-        gap = F.substring(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        mark = F.concat(F.lit("["), s["kind"], F.lit("]"))
-        fresh = s["start"] >= done["at"]
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(done["out"], F.array(gap, mark))).otherwise(done["out"]).alias("out"),
+    def emit(done: Column, s: Column) -> Column:
+        mark = F.struct(done["at"].alias("from"), s["start"].alias("to"), s["kind"].alias("kind"))
+        return F.when(s["start"] >= done["at"], F.array(mark)).otherwise(F.array().cast(marks))
+
+    def joined(done: Column) -> Column:
+        ends = F.flatten(F.transform(done["out"], lambda m: F.array(m["from"], m["to"])))
+        cuts = F.concat(ends, F.array(done["carry"]["at"], F.length(text)))
+        marked = lambda kept: F.transform(
+            done["out"], lambda m, i: F.concat(F.get(kept, 2 * i), F.lit("["), m["kind"], F.lit("]"))
+        )
+        return let(
+            let(cuts, lambda c: _cut(text, c)),
+            lambda kept: F.concat(F.array_join(marked(kept), ""), F.element_at(kept, -1)),
         )
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    return let(
-        all_spans,
-        lambda spans: F.when(F.size(spans) == 0, text).otherwise(
-            F.aggregate(
-                spans,
-                start,
-                add,
-                lambda done: F.concat(
-                    F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.length(text))
-                ),
-            )
-        ),
-    )
+    marks = "array<struct<from:int,to:int,kind:string>>"
+    spans = F.array_sort(F.concat(*map(of_kind, KINDS)))
+    fold = lambda all_: _fold(all_, F.struct(F.lit(0).alias("at")), step, emit, marks)
+    return let(spans, lambda all_: F.when(F.size(all_) == 0, text).otherwise(let(fold(all_), joined)))

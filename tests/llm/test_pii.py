@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from brute import base_spans, sha
 
 from starmart.llm import pii
@@ -100,3 +101,18 @@ def test_query(spark, sf_dir):
         assert row.base_sha256 == sha(",".join(expected))
         assert row.spans.split(",")[: len(expected)] == (expected or [""])[: len(expected)]
         assert row.n_email == sum(x.startswith("email") for x in expected)
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Found and masked run by run: as many as a long server log has."""
+    text = " ".join(f"10.{i % 250}.{i // 250 % 250}.7" + " a@b.cd" * (i % 700 == 0) for i in range(20_000))
+    row = pii.find(spark.createDataFrame([(text,)], "text string")).withColumn("masked", pii.masked(F.col("text"))).first()
+    assert base_of(row) == base_spans(text)
+    assert row.masked == " ".join("[IP]" + " [EMAIL]" * (i % 700 == 0) for i in range(20_000))
+
+
+@pytest.mark.parametrize("n", [1, 2, 255, 256, 257, 513])
+def test_masking_at_the_ends_of_runs(spark, n):
+    text = "é" + "😀 1.2.3.4" * n
+    row = pii.find(spark.createDataFrame([(text,)], "text string")).withColumn("masked", pii.masked(F.col("text"))).first()
+    assert row.masked == "é" + "😀 [IP]" * n

@@ -40,6 +40,7 @@ SHARE = 1.5  # of all words that the mix holds
 MOST = 2
 BLOCK = 64
 SHARD = 8192  # slots of an output shard
+RUN = 1024  # shards whose draws are numbered together
 CHUNKS = 4096
 MOST_SOURCES = 100_000
 SEED = 20_240_601
@@ -180,9 +181,24 @@ def slot_blocks(spark, sources: pd.DataFrame, seed: int = SEED) -> DataFrame:
                 shard = np.repeat(some["shard"].to_numpy(), n)
                 yield pd.DataFrame({"shard": shard, "s": s, "block": block})
 
-    before = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = drawn.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    return numbered.mapInPandas(settle, "shard long, s int, block long")
+    # Slots are told apart within tasks that hold whole shards, however many a source has.
+    numbered = stored(_numbered(drawn), "numbered-draws")
+    return numbered.repartition(tasks, "shard").mapInPandas(settle, "shard long, s int, block long")
+
+
+def _numbered(drawn: DataFrame) -> DataFrame:
+    """Draws with ``base``, how many slots of their source the earlier shards drew.
+
+    Summed up over runs of shards first, so no task orders all shards of a source.
+    """
+    runs = drawn.withColumn("run", F.floor(F.col("shard") / RUN))
+    sums = runs.groupBy("s", "run").agg(F.sum("n").alias("of_run"))
+    earlier = Window.partitionBy("s").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("s", "run", F.coalesce(F.sum("of_run").over(earlier), F.lit(0)).alias("of_runs"))
+    before = Window.partitionBy("s", "run").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    own = runs.withColumn("own", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    base = (F.col("of_runs") + F.col("own")).alias("base")
+    return own.join(sums, ["s", "run"]).select("shard", "s", "n", base)
 
 
 def doc_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -58,13 +58,20 @@ FURNITURE_WORDS = set(
     """ad ads advert adverts advertisement adbox sponsor sponsored promo banner cookie cookies consent gdpr
     notice popup modal newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb
     breadcrumbs footer comment comments disqus reply replies respond related share sharing social login
-    signup pagination widget toolbar masthead copyright""".split()
+    signup pagination widget toolbar masthead copyright authorbio""".split()
 )
-# Parts that a furniture name may have besides: "site-footer" is furniture, "with-sidebar" is not.
+# Words that tell furniture wherever they stand in a name, as in "js-ad" or "global-nav", unless the word
+# before them says that something has it, or has none: "with-sidebar", "no-ads".
+HEAD_WORDS = set(
+    """ad ads advert adverts advertisement adbox sponsored cookie cookies consent gdpr newsletter sidebar nav
+    navbar navigation breadcrumb breadcrumbs footer comment comments disqus""".split()
+)
+HAVING_WORDS = set("with has have having no non without hide show is".split())
+# Parts that other furniture names may have besides: "related-articles" is furniture, "related-work" is not.
 PLACE_WORDS = set(
-    """area bar block bottom box btn button buttons center container content footer header holder icon icons
+    """area article articles author bar bio block bottom box btn button buttons center container content footer header holder icon icons
     inner item items left link links list main outer overlay page panel post posts primary right secondary
-    section site the title top wrap wrapper""".split()
+    section site stories the title top wrap wrapper""".split()
 )
 READER_WORDS = set("comment comments disqus reply replies respond".split())
 SENTENCE_MARKS = frozenset(".,;:!?…。，！？")
@@ -171,7 +178,9 @@ class _Page:
 
     @staticmethod
     def _furniture_words(tag: str, attributes: str) -> set[str]:
-        """Furniture words of a role, and of class and id tokens made of such words and places only."""
+        """Furniture words of a role, and of class and id tokens: head words, and names of nothing but such words
+        and places.
+        """
         found: set[str] = set()
         if not attributes or tag in ("html", "body"):
             return found
@@ -180,11 +189,16 @@ class _Page:
             if tag in ("article", "main") and not role:
                 continue
             for token in "".join(values).split():
-                words = {w.lower() for w in _NAME_PARTS.findall(token)}
+                parts = [w.lower() for w in _NAME_PARTS.findall(token)]
+                words = set(parts)
                 if role:
                     found |= words & FURNITURE_ROLES
-                elif words <= FURNITURE_WORDS | PLACE_WORDS:
+                    continue
+                found |= {w for before, w in zip(["", *parts], parts) if w in HEAD_WORDS and before not in HAVING_WORDS}
+                if words <= FURNITURE_WORDS | PLACE_WORDS:
                     found |= words & FURNITURE_WORDS
+                if "".join(parts) in FURNITURE_WORDS:
+                    found.add("".join(parts))
         return found
 
     def _end_nearest(self, tags: set[str], stops: set[str]) -> None:

@@ -74,6 +74,29 @@ def test_edges(spark):
     assert htmltext.extract(frame.limit(0)).collect() == []
 
 
+NAMES = (
+    "user-comments article-comments comment-thread fb-comments ad-slot js-ad cookie-law-info related-articles "
+    "author-bio entry-footer global-nav commentList post-sidebar"
+).split()
+
+
+@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("around", ["article", "div"])
+def test_named_furniture_goes_wherever_its_word_stands(name, around):
+    body = "".join(f"<p>Sentence number {i}, with a clause, and some more words in it.</p>" for i in range(5))
+    page = f'<body><{around}>{body}<div class="{name}"><p>Aside words, which do not belong here at all.</p></div>{body}</{around}></body>'
+    text = htmltext.main_text(page)
+    assert "Aside" not in text and text.count("Sentence") == 10
+
+
+@pytest.mark.parametrize("name", ["with-sidebar", "has-comments", "no-ads", "commentary", "navy", "adapted", "related-work", "biology"])
+def test_other_names_stay(name):
+    body = "".join(f"<p>Sentence number {i}, with a clause, and some more words in it.</p>" for i in range(5))
+    page = f'<body><article>{body}<div class="{name}"><p>Inner words, which do belong here.</p><ul><li><a href="/x">One</a></li><li>Two</li></ul></div></article></body>'
+    text = htmltext.main_text(page)
+    assert text.split("\n")[-3:] == ["Inner words, which do belong here.", "One", "Two"]
+
+
 def test_query(spark, sf_dir):
     pages = {r.page_id: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in op7_html_text(spark, sf_dir).collect():

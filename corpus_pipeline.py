@@ -8,6 +8,11 @@ columns of documents with its decisions applied; the last one returns token ids.
 3. ``personal_data``: spans of personal data are replaced by their kind in brackets.
 4. ``mix``: documents as often, and with the words, that the mix to target weights takes.
 5. ``token_ids``: the ids of each text, which decode to it again.
+
+Defined results, for every stage but the last: columns stay as they are, whatever their names, but for text
+and its length. A null text is the empty text; quality rules reject it, as they do texts that are too
+short. Rows repeated with their doc_id and text are one document from the second stage on. Empty tables
+stay empty. Texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -22,16 +27,20 @@ from starmart.llm.common import stored, table, whole_text
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
-def _with_text(docs: DataFrame, columns: list[str], text) -> DataFrame:
-    """The columns of documents, with another text and its length."""
-    out = docs.withColumn("text", text)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*columns)
+def _carried(docs: DataFrame) -> DataFrame:
+    """The text beside the whole row in one column, so that no column an operator adds meets one of the row's."""
+    return docs.select("text", F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+
+
+def _with_text(carried: DataFrame, columns: list[str], text) -> DataFrame:
+    """The carried rows as documents again, with another text and its length."""
+    changed = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    row = [changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in columns]
+    return carried.select("_row", text.alias("_text")).select(*row)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = quality.judge(docs).filter("kept")
+    kept = quality.judge(_carried(docs)).filter("kept")
     return _with_text(kept, docs.columns, F.col("cleaned_text"))
 
 
@@ -40,7 +49,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _with_text(pii.find(docs), docs.columns, pii.masked(whole_text()))
+    return _with_text(pii.find(_carried(docs)), docs.columns, pii.masked(whole_text()))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

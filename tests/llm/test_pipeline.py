@@ -116,3 +116,16 @@ def test_no_rows_and_odd_rows(spark, sf_dir):
     for rows in ([], [(None, None, None, None, None, "c"), (1, "", "en", "a", 0, "c"), (1, "", "en", "a", 0, "c")]):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, spark.createDataFrame(rows, schema), sf_dir).count() <= len(rows)
+
+
+def test_columns_named_as_an_operators(spark, sf_dir):
+    """They stay what they are, through the stages that keep columns."""
+    text = " ".join(f"First{i} second{i}, third{i} fourth{i} a{i}@b.cd sixth{i}." for i in range(20))
+    names = ["kept", "lost", "n_words", "cleaned_text", "email_spans", "_row", "_text", "mark", "component"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame([(1, text, "en", "a", len(text), *names)], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        rows = out.collect()
+        assert out.columns == docs.columns and rows, name
+        assert all([r[n] for n in names] == names for r in rows), name

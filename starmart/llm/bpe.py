@@ -10,7 +10,8 @@ refills it from the edit on (``Prefixes``). Pieces are the matches of a pattern,
 piece that is a token itself is that token.
 
 Defined results: a null or empty text has no tokens and decodes to no bytes; rows are independent, so
-repeated rows and ids give repeated results.
+repeated rows and ids give repeated results. Texts of any length are encoded whole. Of the input columns
+all stay where ``token_ids`` is added, which replaces one of that name.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ The automata are learned on the driver from at most ``SAMPLE_ROWS`` rows and ``S
 per language and at most ``MOST_LANGUAGES`` languages, so what is sent out has a fixed size bound.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, or nothing learned; ties
-go to the language first by code point. A row without label or id is never learned from.
+go to the language first by code point. A row without label or id is never learned from. Input columns
+stay, but for ``lang_pred`` and ``score``, which are replaced. Repeated rows give repeated results.
 """
 
 from __future__ import annotations

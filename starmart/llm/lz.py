@@ -11,7 +11,8 @@ at ids of the table, and the rows at a cut also go to the range before, whose la
 
 Defined results: a null text is the empty text; a text without phrases has the empty fingerprint, and
 two empty ones are alike (1), one empty one is not (0). Rows are ordered by doc_id downwards, null
-last, then by text; the row after the last is the first, so a single row follows itself.
+last, then by text; the row after the last is the first, so a single row follows itself. Texts of any
+length are parsed whole. Columns other than doc_id and text are not used, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ paths there, then on suffix and path start to the rules, so neither many rules n
 host multiply beyond the lengths a host's rules have.
 
 Defined results: a null url or one without ``://`` has empty host and path, no rule and no aliases and
-is allowed; equal urls get equal verdicts; of rules of equal length an allow goes first.
+is allowed; equal urls get equal verdicts; of rules of equal length an allow goes first. Input columns
+stay, but for ``host``, ``path``, ``rule`` and ``verdict``, which are replaced. Pages of any length are read
+whole; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -137,25 +139,25 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
 
     ``redirects`` adds edges of two url columns to those found in the html.
     """
-    added = ("host", "path", "rule", "rule_verdict", "verdict", "key", "alias_blocked")
-    kept = pages.drop(*added)
+    kept = pages.drop("host", "path", "rule", "verdict")
     edges = link_edges(kept)
     if redirects is not None:
         edges = edges.union(redirects)
-    blocked = blocked_aliases(edges, rules)
+    found = ruled(kept, rules).withColumnRenamed("rule_verdict", "_rule_verdict")
+    blocked = blocked_aliases(edges, rules).withColumnsRenamed({"key": "_key", "alias_blocked": "_alias_blocked"})
     url = F.col("url")
     return (
-        kept.join(ruled(kept, rules), "url", "left")
-        .withColumn("key", alias_key(url))
-        .join(blocked, "key", "left")
+        kept.join(found, "url", "left")
+        .withColumn("_key", alias_key(url))
+        .join(blocked, "_key", "left")
         .withColumns(
             {
                 "host": host_of(url),
                 "path": path_of(url),
                 "verdict": F.coalesce(
-                    "rule_verdict", F.when(F.col("alias_blocked"), F.lit(BLOCK)), F.lit(ALLOW)
+                    "_rule_verdict", F.when(F.col("_alias_blocked"), F.lit(BLOCK)), F.lit(ALLOW)
                 ),
             }
         )
-        .drop("rule_verdict", "key", "alias_blocked")
+        .drop("_rule_verdict", "_key", "_alias_blocked")
     )

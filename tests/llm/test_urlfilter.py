@@ -120,3 +120,15 @@ def test_query(spark, sf_dir):
         rule, verdict = rule_of(url, URL_RULES)
         assert (r.host, r.path) == parts(url) and r.rule == rule and r.verdict == (verdict or "allow")
     assert not urls
+
+
+def test_other_columns_stay(spark):
+    """Also those named as the operator's own steps; those named as its results are replaced."""
+    names = ["key", "alias_blocked", "rule_verdict", "suffix", "node"]
+    schema = "url string, html string, verdict string, " + ", ".join(f"{n} string" for n in names)
+    pages = spark.createDataFrame([("http://a.org/x", "", "old", *names), (None, None, None, *names)], schema)
+    rows = urlfilter.judge(pages, urlfilter.rules_frame(spark, [("block", "a.org/")])).collect()
+    assert sorted((r.url or "", r.verdict, [r[n] for n in names] == names) for r in rows) == [
+        ("", "allow", True),
+        ("http://a.org/x", "block", True),
+    ]

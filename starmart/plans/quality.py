@@ -225,7 +225,8 @@ def union(reports: Sequence[DataFrame]) -> DataFrame:
 def failed_by_period(report: DataFrame, year: str = "load_year", month: str = "load_month") -> dict[tuple, str]:
     """Why each period failed, for those that did; a period has some ten checks."""
     failed: dict[tuple, list[str]] = {}
-    for row in report.filter(~F.col("passed") & (F.col("severity") == ERROR)).orderBy("check_name").collect():
+    rows = report.filter(~F.col("passed") & (F.col("severity") == ERROR)).collect()
+    for row in sorted(rows, key=lambda r: r.check_name):
         text = f"{row.check_name}: {row.observed}, expected {row.expected}"
         failed.setdefault((row[year], row[month]), []).append(text)
     return {period: "; ".join(texts) for period, texts in failed.items()}
@@ -234,7 +235,7 @@ def failed_by_period(report: DataFrame, year: str = "load_year", month: str = "l
 def enforce(report: DataFrame) -> None:
     """Log failed warnings and raise on failed errors. A report has some twenty rows."""
     failed = {ERROR: [], WARNING: []}
-    for row in report.filter(~F.col("passed")).orderBy("check_name").collect():
+    for row in sorted(report.filter(~F.col("passed")).collect(), key=lambda r: r.check_name):
         failed[row.severity].append(f"{row.check_name}: {row.observed}, expected {row.expected}")
     for text in failed[WARNING]:
         LOG.warning(text)

@@ -20,17 +20,19 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 from operator import itemgetter
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 KEPT_PIECES = 150_000  # encodings of pieces remembered per worker, and as many older ones
 KEPT_PAIRS = 1_000_000  # pairs of tokens remembered per worker
+RUN_BYTES = 1 << 22  # of texts whose ids are held at once; one text is never split
 ENCODED = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -131,7 +133,7 @@ class Prefixes:
 
 
 class Pieces(dict):
-    """Token ids of pieces, encoded when first asked for; short pieces are remembered.
+    """Token ids of pieces as 32-bit numbers, encoded when first asked for; short pieces are remembered.
 
     When they are too many, those not asked for since the last time there were are forgotten.
     """
@@ -139,14 +141,15 @@ class Pieces(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
             raw = piece.encode()
             whole = self.vocabulary.ranks.get(raw)
-            ids = (whole,) if whole is not None else tuple(Prefixes(self.vocabulary, raw).tokens())
+            found = [whole] if whole is not None else Prefixes(self.vocabulary, raw).tokens()
+            ids = np.array(found, np.int32).tobytes()
         if len(piece) < 64:  # longer ones hardly recur; they are encoded anew
             if len(self) >= KEPT_PIECES:
                 self.older = dict(self)
@@ -175,8 +178,12 @@ class Codec:
         self._bytes = [bytes_of.get(rank) for rank in ranks]
         self._names = [str(rank) for rank in ranks]
 
+    def packed(self, text: str) -> bytes:
+        """The ids as 32-bit numbers."""
+        return b"".join(map(self._pieces.__getitem__, self._split.findall(text)))
+
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self._pieces.__getitem__, self._split.findall(text))))
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(_looked_up(self._bytes, ids))
@@ -197,6 +204,18 @@ def _codec(ranks_file: str, pattern: str) -> Codec:
     return _codecs[(ranks_file, pattern)]
 
 
+def _runs(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows that have up to ``RUN_BYTES`` in a column of texts, beside a run's first one.
+
+    A batch may have any number of rows, and the ids of all its texts would take many times their bytes.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes, dtype=np.int64) // RUN_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for start, stop in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(start, stop - start)
+
+
 def _ship(docs: DataFrame, ranks_path: str) -> str:
     """Sends the rank file to the executors; returns its name there."""
     docs.sparkSession.sparkContext.addFile(ranks_path)
@@ -208,12 +227,15 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text: str = "te
     name = _ship(docs, ranks_path)
     columns = [c for c in docs.columns if c != "token_ids"]
 
+    at = columns.index(text)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, pattern)
-        for batch in batches:
-            texts = batch.column(columns.index(text)).to_pylist()
-            ids = pa.array([codec.encode(t or "") for t in texts], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*columns, "token_ids"])
+        for some in (some for batch in batches for some in _runs(batch, at)):
+            packed = [codec.packed(value.as_py() or "") for value in some.column(at)]
+            ends = np.cumsum([0, *(len(ids) // 4 for ids in packed)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+            yield pa.RecordBatch.from_arrays([*some.columns, ids], [*columns, "token_ids"])
 
     kept = docs.select(*columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)

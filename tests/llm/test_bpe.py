@@ -3,6 +3,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from brute import sha
@@ -67,6 +68,25 @@ def test_texts(spark, library):
     assert bpe.round_trips(frame.limit(0), PATH, public_tokenizers.PATTERN).collect() == []
 
 
+def test_ids_of_a_large_batch_are_not_held_at_once(spark, codec, library, monkeypatch):
+    """However many rows a batch has, the ids of so many bytes of text only come at once; no text is split."""
+    frame = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema: run)
+    monkeypatch.setattr(bpe, "_codec", lambda *_: codec)
+    run = bpe.encode_texts(frame, PATH, public_tokenizers.PATTERN)
+    most = 1 << 22
+    longer = "The é 12\n" * (most // 8)
+    texts = ["of the " * 30_000] * 60 + [None, longer, ""] + ["a b"] * 1000 + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    out = list(run(iter([batch.slice(3), batch.slice(0, 0)])))
+    assert [t for b in out for t in b.column(1).to_pylist()] == texts[3:]
+    sizes = [[len((t or "").encode()) for t in b.column(1).to_pylist()] for b in out]
+    assert len(out) > 3 and all(sum(own) - max(own, default=0) <= most for own in sizes)
+    wanted = {t: library.encode_ordinary(t or "") for t in set(texts)}
+    assert all(ids == wanted[t] for b in out for t, ids in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True))
+    assert {b.schema.field("token_ids").type for b in out} == {pa.list_(pa.int32())}
+
+
 def test_query(spark, sf_dir, library):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = op6_byte_bpe(spark, sf_dir).collect()
